@@ -24,32 +24,26 @@ def wide(col: Column) -> Column:
     return col.cast("decimal(38,0)")
 
 
-def ratio(numerator: Column, denominator: Column, scale: int = 2,
-          low: int | None = None, high: int | None = None) -> Column:
-    """numerator / denominator, rounded half away from zero to ``scale`` places.
+def half_away(numerator: Column, denominator: Column) -> Column:
+    """Whole numbers divided and rounded, ties away from zero; NULL for a zero denominator.
 
-    Both must be whole numbers and the denominator not negative; a zero or NULL
-    denominator gives NULL. ``low`` and ``high`` clip the result. ``greatest``
-    and ``least`` skip NULLs, hence the guard that keeps NULL in, NULL out.
+    ``div`` drops the fraction, so half a denominator is added first, on the
+    numerator's side of zero. The denominator is not negative.
     """
-    step = 10**scale
-    n = wide(numerator) * F.lit(step)
-    d = F.nullif(wide(denominator), F.lit(0).cast("decimal(38,0)"))
-    steps = F.call_function("div", F.abs(n) * 2 + d, d * 2)
-    steps = F.when(n < 0, -steps).otherwise(steps)
-    if low is not None:
-        steps = F.when(steps.isNotNull(), F.greatest(steps, F.lit(low * step)))
-    if high is not None:
-        steps = F.when(steps.isNotNull(), F.least(steps, F.lit(high * step)))
-    return steps / F.lit(float(step))
+    d = F.nullif(denominator, F.lit(0))
+    return F.call_function("div", numerator * 2 + F.when(numerator < 0, -d).otherwise(d), d * 2)
 
 
-def mean(col: str, scale: int) -> Column:
-    """Aggregate: unrounded average of a column that holds ``scale`` decimals."""
-    count = F.nullif(F.count(col), F.lit(0))
-    return total(col, scale) / count.cast("double")
+def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
+    """numerator / denominator as a double, for a numerator counted in 10**-scale steps."""
+    return half_away(numerator, denominator) / F.lit(float(10**scale))
 
 
 def total(col: str, scale: int) -> Column:
     """Aggregate: sum of a column that holds ``scale`` decimals."""
     return F.sum(units(col, scale)).cast("double") / F.lit(float(10**scale))
+
+
+def mean(col: str, scale: int) -> Column:
+    """Aggregate: unrounded average of a column that holds ``scale`` decimals."""
+    return total(col, scale) / F.nullif(F.count(col), F.lit(0)).cast("double")

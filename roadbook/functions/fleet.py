@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from roadbook import settings as S
-from roadbook.functions.exact import ratio, wide
+from roadbook.functions.exact import wide
 
 
 def inside_box(lat: str = "lat", lon: str = "lon",
@@ -48,6 +48,13 @@ def urgency(days: Column) -> Column:
             .otherwise("low"))
 
 
+def _score(numerator: Column, denominator: Column) -> Column:
+    """A quotient in hundredths, clipped to 0..100. Callers keep NULLs out:
+    ``greatest`` and ``least`` would skip one and return a bound."""
+    hundredths = F.call_function("div", numerator * 2 + denominator, denominator * 2)
+    return F.least(F.greatest(hundredths, F.lit(0)), F.lit(10_000)) / F.lit(100.0)
+
+
 def efficiency_score(speed_units: Column, speed_count: Column,
                      idle_count: Column, ping_count: Column) -> Column:
     """100 - 0.5 * idle % - 0.3 * max(0, 35 - average speed), clipped to 0..100.
@@ -56,10 +63,10 @@ def efficiency_score(speed_units: Column, speed_count: Column,
     ``speed_units`` is the speed sum in 1/10000 mph. Without any speed: NULL.
     """
     s, m, k, n = wide(speed_units), wide(speed_count), wide(idle_count), wide(ping_count)
-    shortfall = F.when(s < m * 350_000, m * 350_000 - s).otherwise(F.lit(0).cast("decimal(38,0)"))
-    # the whole formula times n * m * 10**5
-    score = n * m * 10_000_000 - k * m * 5_000_000 - n * shortfall * 3
-    return ratio(score, n * m * 100_000, 2, low=0, high=100)
+    shortfall = F.greatest(m * 350_000 - s, F.lit(0))
+    # the formula in hundredths, times n * m * 1000
+    score = (n * 10_000_000 - k * 5_000_000) * m - n * shortfall * 3
+    return F.when(speed_count > 0, _score(score, n * m * 1_000))
 
 
 def safety_score(speed_cents: Column, speed_days: Column,
@@ -69,7 +76,7 @@ def safety_score(speed_cents: Column, speed_days: Column,
     Takes the sums of the daily values in hundredths and their day counts.
     """
     s, a, i, b = wide(speed_cents), wide(speed_days), wide(idle_cents), wide(idle_days)
-    capped = F.when(s > a * 4_500, a * 4_500).otherwise(s)
-    # the whole formula times a * b * 9000
-    score = a * b * 630_000 + b * capped * 40 - a * i * 27
-    return ratio(score, a * b * 9_000, 2, low=0, high=100)
+    capped = F.least(s, a * 4_500)
+    # the formula in hundredths, times a * b * 90
+    score = (a * 630_000 + capped * 40) * b - a * i * 27
+    return F.when((speed_days > 0) & (idle_days > 0), _score(score, a * b * 90))

@@ -18,8 +18,8 @@ NULL_TOKENS = ["", "NULL", "null"]
 REASON = "_reason"
 
 
-def _clean(name: str) -> Column:
-    return F.when(~F.col(name).isin(NULL_TOKENS), F.col(name))
+def _text(name: str) -> str:
+    return f"_text_{name}"
 
 
 def _reason(spec: Table, has_corrupt: bool) -> Column:
@@ -27,16 +27,14 @@ def _reason(spec: Table, has_corrupt: bool) -> Column:
     found = []
     if has_corrupt:
         found.append(F.when(F.col(CORRUPT).isNotNull(), "malformed line"))
-    found.append(F.when(_clean(spec.key).isNull(), f"missing {spec.key}"))
+    found.append(F.when(F.col(spec.key).isNull(), f"missing {spec.key}"))
     for c in spec.columns:
-        text = _clean(c.name)
         if c.max_length is not None:
-            found.append(F.when(F.length(text) > c.max_length, f"too long {c.name}"))
+            found.append(F.when(F.length(c.name) > c.max_length, f"too long {c.name}"))
         else:
-            typed = text.try_cast(c.type)
-            bad = text.isNotNull() & typed.isNull()
-            if c.type == "double":
-                bad = bad | F.isnan(typed) | (F.abs(typed) == float("inf"))
+            # NaN sorts above infinity, so one comparison rejects both
+            valid = F.abs(c.name) < float("inf") if c.type == "double" else F.col(c.name).isNotNull()
+            bad = F.col(_text(c.name)).isNotNull() & ~F.coalesce(valid, F.lit(False))
             found.append(F.when(bad, f"bad {c.name}"))
     return F.coalesce(*found)
 
@@ -44,19 +42,21 @@ def _reason(spec: Table, has_corrupt: bool) -> Column:
 def parse(raw: DataFrame, table: str) -> DataFrame:
     """Typed columns, ``_reason``, and ``_raw`` (the original text) on bad rows.
 
-    Other columns of ``raw``, such as the partition date, pass through.
+    Other columns of ``raw``, such as the partition date, pass through. Each
+    step builds on the columns of the one before, so a text is cast only once.
     """
     spec = TABLES[table]
-    has_corrupt = CORRUPT in raw.columns
-    text = F.struct(*[F.col(c) for c in raw.columns if c in spec.names or c == CORRUPT])
-    rest = [c for c in raw.columns if c not in spec.names and c != CORRUPT]
-    marked = raw.withColumn(REASON, _reason(spec, has_corrupt))
-    return marked.select(
-        *[_clean(c.name).try_cast(c.type).alias(c.name) for c in spec.columns],
-        *rest,
-        REASON,
-        F.when(F.col(REASON).isNotNull(), F.to_json(text)).alias("_raw"),
-    )
+    names = [c for c in raw.columns if c in spec.names or c == CORRUPT]
+    rest = [c for c in raw.columns if c not in names]
+    original = F.struct(*names).alias("_original")
+    cleaned = raw.select(
+        *[F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(_text(c)) for c in spec.names],
+        *[c for c in names if c == CORRUPT], *rest, original)
+    typed = cleaned.select(
+        "*", *[F.col(_text(c.name)).try_cast(c.type).alias(c.name) for c in spec.columns])
+    judged = typed.withColumn(REASON, _reason(spec, CORRUPT in names))
+    bad_text = F.when(F.col(REASON).isNotNull(), F.to_json("_original"))
+    return judged.select(*spec.names, *rest, REASON, bad_text.alias("_raw"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -28,9 +28,9 @@ def mart_route_efficiency(segments: DataFrame) -> DataFrame:
     )
     return daily.select(
         "route_id", "route_name", "zone", "district", "segment_date", "vehicles_on_route",
-        ratio(F.col("speed_units"), F.col("speed_count") * 10_000).alias("avg_speed"),
+        ratio(F.col("speed_units"), F.col("speed_count") * 100).alias("avg_speed"),
         F.round("miles", 4).alias("total_miles"),
-        ratio(F.col("idle_count") * 100, F.col("total_events")).alias("avg_idle_pct"),
+        ratio(F.col("idle_count") * 10_000, F.col("total_events")).alias("avg_idle_pct"),
         "total_events",
         fleet.efficiency_score(F.col("speed_units"), F.col("speed_count"),
                                F.col("idle_count"), F.col("total_events"))
@@ -54,7 +54,7 @@ def mart_fleet_health(vehicles: DataFrame, maintenance: DataFrame, as_of: date)
     return vehicles.join(service_history(maintenance, as_of), "vehicle_id", "left").select(
         "vehicle_id", "make", "model", "year", "vehicle_class", "status", "last_service_date",
         days.alias("days_since_service"),
-        ratio(F.col("cost_units"), F.lit(10_000)).alias("total_cost_ytd"),
+        ratio(F.col("cost_units"), F.lit(100)).alias("total_cost_ytd"),
         "total_service_events",
         fleet.urgency(days).alias("maintenance_urgency"),
     )
@@ -80,12 +80,12 @@ def mart_driver_performance(daily: DataFrame, vehicles: DataFrame) -> DataFrame:
     named = vehicles.select("vehicle_id", "make", "model", "vehicle_class")
     return monthly.join(named, "vehicle_id", "left").select(
         "vehicle_id", "make", "model", "vehicle_class", "month",
-        ratio(F.col("speed_cents"), F.col("speed_days") * 100).alias("avg_speed"),
-        ratio(F.col("idle_cents"), F.col("idle_days") * 100).alias("idle_pct"),
-        ratio(F.col("mile_units"), F.lit(10_000)).alias("total_miles"),
+        ratio(F.col("speed_cents"), F.col("speed_days")).alias("avg_speed"),
+        ratio(F.col("idle_cents"), F.col("idle_days")).alias("idle_pct"),
+        ratio(F.col("mile_units"), F.lit(100)).alias("total_miles"),
         "total_trips",
         "active_days",
-        ratio(F.col("active_cents"), F.col("active_mins_days") * 100)
+        ratio(F.col("active_cents"), F.col("active_mins_days"))
         .alias("avg_active_mins_per_day"),
         fleet.safety_score(F.col("speed_cents"), F.col("speed_days"),
                            F.col("idle_cents"), F.col("idle_days")).alias("safety_score"),

@@ -107,12 +107,12 @@ def kpis(efficiency: DataFrame, health: DataFrame) -> DataFrame:
     speeds = F.count("avg_speed")
     routes = efficiency.agg(
         F.count_distinct("route_id").alias("active_routes"),
-        F.coalesce(ratio(F.sum(units("avg_speed", 2)), speeds * 100, 1), F.lit(0.0))
+        F.coalesce(ratio(F.sum(units("avg_speed", 2)), speeds * 10, 1), F.lit(0.0))
         .alias("avg_speed"),
     )
     active = F.count_if(F.col("status") == "active")
     fleet = health.agg(
-        F.coalesce(ratio(active * 100, F.count(F.lit(1)), 1), F.lit(0.0))
+        F.coalesce(ratio(active * 1_000, F.count(F.lit(1)), 1), F.lit(0.0))
         .alias("fleet_utilisation"),
         F.count_if(F.col("maintenance_urgency").isin("medium", "high"))
         .alias("maintenance_alerts"),

@@ -81,9 +81,9 @@ def int_vehicle_daily_stats(segments: DataFrame) -> DataFrame:
         "event_date",
         "trips_count",
         F.round("miles", 4).alias("total_miles"),
-        ratio(F.col("speed_units"), F.col("speed_count") * 10_000).alias("avg_speed_mph"),
-        ratio(idle, F.lit(60)).alias("total_idle_mins"),
-        ratio(active, F.lit(60)).alias("total_active_mins"),
-        F.when(active > 0, ratio(idle * 100, active)).otherwise(0.0).alias("idle_pct"),
+        ratio(F.col("speed_units"), F.col("speed_count") * 100).alias("avg_speed_mph"),
+        ratio(idle * 100, F.lit(60)).alias("total_idle_mins"),
+        ratio(active * 100, F.lit(60)).alias("total_active_mins"),
+        F.when(active > 0, ratio(idle * 10_000, active)).otherwise(0.0).alias("idle_pct"),
         "event_count",
     )
