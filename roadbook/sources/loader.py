@@ -6,10 +6,11 @@ import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadbook.operators.rejects import REASON, load_counts, parse
+from roadbook.operators.rejects import REASON, parse
 from roadbook.schemas import TABLES
 from roadbook.sources.landing import read_landed
 from roadbook.sources.warehouse import Warehouse
@@ -46,6 +47,15 @@ def partition_columns(table: str) -> list[str]:
     return [BATCH, STATUS] + ([clustered] if clustered else [])
 
 
+def stored_schema(table: str) -> T.StructType:
+    """Declared, so that an empty or a huge raw table reads without inference."""
+    schema = TABLES[table].typed_schema()
+    for name, kind in ((REASON, "string"), ("_raw", "string"), ("_loaded_at", "timestamp_ntz"),
+                       (BATCH, "date"), (STATUS, "string")):
+        schema = schema.add(name, kind)
+    return schema
+
+
 def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: str,
                batch_date: str | None = None) -> LoadResult:
     """Load one landed date, or every landed date, in a single pass over the files.
@@ -53,14 +63,16 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
     A load replaces what the same date loaded before, so running it twice
     changes nothing and a run that died half way is simply run again.
     """
-    counts = Observation()
     rows = storable(read_landed(spark, landing, table, batch_date), table)
-    rows = rows.observe(counts, *load_counts())
     folder, columns = warehouse.path(f"raw.{table}"), partition_columns(table)
     if batch_date:
         folder, columns, rows = f"{folder}/{BATCH}={batch_date}", columns[1:], rows.drop(BATCH)
     warehouse.replace_folder(rows, folder, *columns)
-    result = LoadResult(table, counts.get["rows_loaded"], counts.get["rows_errored"])
+
+    # counted from what was stored: partition values only, no column is read
+    stored = spark.read.schema(f"{STATUS} string").parquet(folder)
+    counts = {r[STATUS]: r["count"] for r in stored.groupBy(STATUS).count().collect()}
+    result = LoadResult(table, counts.get("loaded", 0), counts.get("rejected", 0))
     log.info("%s: %d loaded, %d errors [%s]", table, result.rows_loaded,
              result.rows_errored, result.status)
     return result
@@ -78,13 +90,16 @@ def load_all(spark: SparkSession, landing: str, warehouse: Warehouse,
     return results
 
 
+def _stored(warehouse: Warehouse, table: str, status: str) -> DataFrame:
+    reader = warehouse.spark.read.schema(stored_schema(table))
+    return reader.parquet(warehouse.path(f"raw.{table}")).where(F.col(STATUS) == status)
+
+
 def raw_table(warehouse: Warehouse, table: str) -> DataFrame:
     """The accepted rows of a raw table."""
-    stored = warehouse.read(f"raw.{table}").where(F.col(STATUS) == "loaded")
-    return stored.drop(STATUS, REASON, "_raw")
+    return _stored(warehouse, table, "loaded").drop(STATUS, REASON, "_raw")
 
 
 def rejected_rows(warehouse: Warehouse, table: str) -> DataFrame:
     """The quarantined rows of a raw table, with their text and reason."""
-    stored = warehouse.read(f"raw.{table}").where(F.col(STATUS) == "rejected")
-    return stored.select(BATCH, REASON, "_raw", "_loaded_at")
+    return _stored(warehouse, table, "rejected").select(BATCH, REASON, "_raw", "_loaded_at")
