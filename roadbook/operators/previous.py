@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadbook.session import reliable_checkpoint
-from roadbook.settings import MAX_GROUP_ROWS
+from roadbook.settings import MAX_GROUP_ROWS, MAX_SLICES
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: list[str],
@@ -40,7 +40,7 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: lis
     # _tie makes every row distinct, so even equal rows can be cut apart
     numbered = df.withColumn("_tie", F.monotonically_increasing_id())
     oversized = numbered.join(large, is_large, "left_semi")
-    slices = 2 * ceil(found["rows"] / max_group_rows)
+    slices = min(2 * ceil(found["rows"] / max_group_rows), MAX_SLICES)
     return _by_window(ordinary, keys, order, columns).unionByName(
         _by_slices(oversized, keys, order, columns, slices).drop("_tie"))
 
@@ -65,16 +65,15 @@ def _by_slices(df: DataFrame, keys: list[str], order: list[str], columns: list[s
     sliced = reliable_checkpoint(ranged.withColumn("_slice", F.spark_partition_id()))
 
     inside = Window.partitionBy(*keys, "_slice").orderBy(*_sorted(order), F.col("_tie"))
-    lagged = sliced.select("*",
-                           F.lag(F.struct(*columns)).over(inside).alias("_before"),
-                           F.lead(F.lit(True)).over(inside).isNull().alias("_last"))
+    lagged = sliced.withColumn("_before", F.lag(F.struct(*columns)).over(inside))
 
-    # one row a slice and key, so ordering them is small work
+    # the last row of a slice, found where the slice lies: one row a slice and key is shuffled
+    position = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))], "_tie")
+    last = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*columns), position).alias("_end"))
     across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = (lagged.where("_last")
-               .select(*[F.col(k).alias(f"_carried_{k}") for k in keys],
-                       F.col("_slice").alias("_carried_slice"),
-                       F.lag(F.struct(*columns)).over(across).alias("_carried")))
+    carried = last.select(*[F.col(k).alias(f"_carried_{k}") for k in keys],
+                          F.col("_slice").alias("_carried_slice"),
+                          F.lag("_end").over(across).alias("_carried"))
 
     match = _same([F.col(k) for k in keys], [F.col(f"_carried_{k}") for k in keys]) & (
         F.col("_slice") == F.col("_carried_slice"))

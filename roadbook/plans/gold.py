@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadbook.functions import fleet
-from roadbook.functions.exact import ratio, units
+from roadbook.functions.exact import long_total, ratio, units
+from roadbook.plans.silver import MILE_DECIMALS
 
 
 def mart_route_efficiency(segments: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def mart_route_efficiency(segments: DataFrame) -> DataFrame:
             F.count_distinct("vehicle_id").alias("vehicles_on_route"),
             F.sum(units("speed_mph")).alias("speed_units"),
             F.count("speed_mph").alias("speed_count"),
-            F.sum("segment_distance_miles").alias("miles"),
+            long_total("segment_distance_miles", MILE_DECIMALS).alias("miles"),
             F.sum(F.col("idle_flag").cast("bigint")).alias("idle_count"),
             F.count(F.lit(1)).alias("total_events"),
         )
@@ -29,7 +30,7 @@ def mart_route_efficiency(segments: DataFrame) -> DataFrame:
     return daily.select(
         "route_id", "route_name", "zone", "district", "segment_date", "vehicles_on_route",
         ratio(F.col("speed_units"), F.col("speed_count") * 100).alias("avg_speed"),
-        F.round("miles", 4).alias("total_miles"),
+        ratio(F.col("miles"), F.lit(10 ** (MILE_DECIMALS - 4)), 4).alias("total_miles"),
         ratio(F.col("idle_count") * 10_000, F.col("total_events")).alias("avg_idle_pct"),
         "total_events",
         fleet.efficiency_score(F.col("speed_units"), F.col("speed_count"),

@@ -103,12 +103,13 @@ def _known(kind: str, name: str, names: Mapping) -> None:
 
 
 def metric_query(marts: Mapping[str, DataFrame], table: str, dimensions: list[str],
-                 measures: list[str], where: Mapping[str, list] | None = None,
+                 measures: list[str], where: Mapping[str, list | tuple] | None = None,
                  order: list[Column] | None = None, limit: int | None = None) -> DataFrame:
     """Group a mart by dimensions, each measure by its default aggregation.
 
-    ``where`` maps a dimension to the values to keep. Names and enumerated values are
-    checked before anything runs.
+    ``where`` maps a dimension to a list of values to keep, or to an inclusive
+    ``(low, high)`` pair in which None leaves a side open. Names and enumerated
+    values are checked before anything runs.
     """
     _known("table", table, METRIC_TABLES)
     spec = METRIC_TABLES[table]
@@ -118,6 +119,11 @@ def metric_query(marts: Mapping[str, DataFrame], table: str, dimensions: list[st
         _known("measure", name, spec.measures)
     df = marts[table]
     for name, values in (where or {}).items():
+        if isinstance(values, tuple):
+            low, high = values
+            df = df.where(F.col(name) >= F.lit(low)) if low is not None else df
+            df = df.where(F.col(name) <= F.lit(high)) if high is not None else df
+            continue
         allowed = spec.dimensions[name].allowed
         for value in values:
             if allowed and value not in allowed:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.functions.exact import ratio, units
+from roadbook.functions.exact import long_total, ratio, units
 from roadbook.functions.fleet import elapsed_seconds, haversine_miles, idle_flag
 from roadbook.operators.previous import with_previous
 from roadbook.settings import MAX_GROUP_ROWS
 
+MILE_DECIMALS = 9  # a distance is summed in 10**-9 miles
+
 TRIP_KEYS = ["vehicle_id", "route_id", "event_date"]
 TRIP_ORDER = ["event_ts", "event_id"]  # the id settles equal timestamps
 
@@ -66,7 +68,7 @@ def int_vehicle_daily_stats(segments: DataFrame) -> DataFrame:
         .groupBy("vehicle_id", "event_date")
         .agg(
             F.count_distinct("route_id").alias("trips_count"),
-            F.sum("segment_distance_miles").alias("miles"),
+            long_total("segment_distance_miles", MILE_DECIMALS).alias("miles"),
             F.sum(units("speed_mph")).alias("speed_units"),
             F.count("speed_mph").alias("speed_count"),
             F.sum(F.when(F.col("idle_flag") == 1, F.col("seconds")).otherwise(F.lit(0)))
@@ -80,7 +82,7 @@ def int_vehicle_daily_stats(segments: DataFrame) -> DataFrame:
         "vehicle_id",
         "event_date",
         "trips_count",
-        F.round("miles", 4).alias("total_miles"),
+        ratio(F.col("miles"), F.lit(10 ** (MILE_DECIMALS - 4)), 4).alias("total_miles"),
         ratio(F.col("speed_units"), F.col("speed_count") * 100).alias("avg_speed_mph"),
         ratio(idle * 100, F.lit(60)).alias("total_idle_mins"),
         ratio(active * 100, F.lit(60)).alias("total_active_mins"),

@@ -21,3 +21,6 @@ DEFAULT_ROUTE_COUNT = 5
 
 # A (vehicle, route, day) with more pings than this is sorted by several tasks.
 MAX_GROUP_ROWS = 1_000_000
+# Sorting the large groups uses at most this many tasks; more would cost the
+# shuffle more in bookkeeping than it gains, slices just grow instead.
+MAX_SLICES = 20_000

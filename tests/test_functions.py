@@ -38,6 +38,18 @@ def test_sums_do_not_depend_on_order(spark):
         assert df.agg(exact.total("v", 1)).first()[0] == sum(i % 801 for i in range(5000)) / 10
 
 
+def test_long_total(spark):
+    values = [12_000.123456789, -3.5, 0.000000001, None, 1e-10, 7.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(exact.long_total("v", 9)).first()[0] == 12_003_623_456_790
+    assert df.where("v is null").agg(exact.long_total("v", 9)).first()[0] is None
+
+
+def test_long_total_does_not_overflow(spark):
+    df = spark.range(2000).select((F.lit(9e6) + F.col("id") * 0).alias("v"))
+    assert df.agg(exact.long_total("v", 9)).first()[0] == 2000 * 9 * 10**15
+
+
 def test_mean_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     assert df.agg(exact.mean("v", 2), exact.total("v", 2)).first() == (None, None)

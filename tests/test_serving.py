@@ -121,6 +121,13 @@ def test_metric_defaults(efficiency):
     assert tuple(row) == ("North", 26.0, 6 * 6 * 1.5, 6 * (1 + 3 + 5 + 7 + 9 + 11))
 
 
+def test_metric_range(efficiency):
+    rows = metrics.metric_query({"mart_route_efficiency": efficiency}, "mart_route_efficiency",
+                                ["segment_date"], ["vehicles_on_route"],
+                                where={"segment_date": (AS_OF - timedelta(days=8), None)}).collect()
+    assert sorted(r.segment_date for r in rows) == [AS_OF - timedelta(days=d) for d in (8, 7, 0)]
+
+
 def test_metric_order_and_limit(efficiency):
     rows = metrics.metric_query({"mart_route_efficiency": efficiency}, "mart_route_efficiency", ["route_id"],
                                 ["efficiency_score"], order=serving.descending("efficiency_score", "route_id"),
