@@ -16,7 +16,7 @@ from roadbook.checks import quality
 from roadbook.functions import fleet
 from roadbook.operators import rejects, staging
 from roadbook.plans import gold, metrics, serving, silver
-from roadbook.session import reliable_checkpoint
+from roadbook.session import stored
 
 # The test tables' fixed "today": service logs end in 2001, pings in January 2024.
 HEALTH_AS_OF = date(2001, 8, 15)
@@ -224,7 +224,7 @@ def _checked(spark, sf_dir, store: bool = False):
     table they stand for; worth it where most tables built on them are checked."""
     segments = _segments(spark, sf_dir)
     if store:
-        segments = reliable_checkpoint(segments)
+        segments = stored(segments)
     daily = silver.int_vehicle_daily_stats(segments)
     vehicles, maintenance = stg_vehicles(spark, sf_dir), stg_maintenance(spark, sf_dir)
     raw = {f"raw.{t}": fixtures.RAW[t](spark, sf_dir)

@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.session import reliable_checkpoint
+from roadbook.session import stored
 from roadbook.settings import MAX_GROUP_ROWS, MAX_SLICES
 
 
@@ -34,7 +34,7 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: lis
         return _by_window(df, keys, order, columns)
 
     # at most rows / max_group_rows keys, so AQE can broadcast them by measured size
-    large = reliable_checkpoint(large.select(*[F.col(k).alias(f"_large_{k}") for k in keys]))
+    large = stored(large.select(*[F.col(k).alias(f"_large_{k}") for k in keys]))
     is_large = _same([F.col(k) for k in keys], [F.col(f"_large_{k}") for k in keys])
     ordinary = df.join(large, is_large, "left_anti")
     # _tie makes every row distinct, so even equal rows can be cut apart
@@ -62,7 +62,7 @@ def _by_slices(df: DataFrame, keys: list[str], order: list[str], columns: list[s
                slices: int) -> DataFrame:
     ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *_sorted(order), "_tie")
     # written once: both readers below must see the same cuts
-    sliced = reliable_checkpoint(ranged.withColumn("_slice", F.spark_partition_id()))
+    sliced = stored(ranged.withColumn("_slice", F.spark_partition_id()))
 
     inside = Window.partitionBy(*keys, "_slice").orderBy(*_sorted(order), F.col("_tie"))
     lagged = sliced.withColumn("_before", F.lag(F.struct(*columns)).over(inside))
