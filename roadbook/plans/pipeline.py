@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.checks import quality
@@ -30,7 +30,7 @@ log = logging.getLogger(__name__)
 @dataclass(frozen=True)
 class RunResult:
     loads: list[LoadResult]
-    dates: list[date] | None
+    dates: list[date | None] | None
     checks: list
 
 
@@ -56,36 +56,41 @@ def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def dates_of_batch(warehouse: Warehouse, batch_date: str) -> list[date]:
+Days = list[date | None]  # None stands for pings without a date
+
+
+def dates_of_batch(warehouse: Warehouse, batch_date: str) -> Days:
     """The event dates a batch has pings for: calendar days, so a short list."""
     pings = raw_table(warehouse, "gps_events").where(F.col(BATCH) == F.lit(batch_date).cast("date"))
-    return [r.event_date for r in pings.select("event_date").distinct().collect()
-            if r.event_date is not None]
+    return [r.event_date for r in pings.select("event_date").distinct().collect()]
 
 
-def _on(df: DataFrame, column: str, days: list[date] | None) -> DataFrame:
+def _on(df: DataFrame, day: Column, days: Days | None) -> DataFrame:
     """Literal days prune the partitions of the scan."""
-    return df if days is None else df.where(F.col(column).isin(days))
+    if days is None:
+        return df
+    wanted = day.isin([d for d in days if d is not None])
+    return df.where(wanted | day.isNull() if None in days else wanted)
 
 
-def build(warehouse: Warehouse, as_of: date, dates: list[date] | None = None,
+def build(warehouse: Warehouse, as_of: date, dates: Days | None = None,
           latest_dimensions: bool = False) -> None:
     """Silver and gold for the given event dates, or for all of them."""
     stg = staged(raw_tables(warehouse, latest_dimensions))
     if dates is None or dates:
-        gps = _on(stg["stg_gps_events"], "event_date", dates)
-        warehouse.replace_partitions(silver.int_route_segments(gps, stg["stg_routes"]),
-                                     "silver.int_route_segments", "event_date")
+        gps = _on(stg["stg_gps_events"], F.col("event_date"), dates)
         # written once, read by both roll-ups
-        segments = _on(warehouse.read("silver.int_route_segments"), "event_date", dates)
-        warehouse.replace_partitions(silver.int_vehicle_daily_stats(segments),
-                                     "silver.int_vehicle_daily_stats", "event_date")
+        segments = _on(
+            warehouse.replace_partitions(silver.int_route_segments(gps, stg["stg_routes"]),
+                                         "silver.int_route_segments", "event_date"),
+            F.col("event_date"), dates)
         warehouse.replace_partitions(gold.mart_route_efficiency(segments),
                                      "gold.mart_route_efficiency", "segment_date")
-        months = None if dates is None else sorted({d.replace(day=1) for d in dates})
-        daily = warehouse.read("silver.int_vehicle_daily_stats")
-        if months is not None:
-            daily = daily.where(F.trunc("event_date", "MM").isin(months))
+        months = None if dates is None else list({d and d.replace(day=1) for d in dates})
+        daily = _on(
+            warehouse.replace_partitions(silver.int_vehicle_daily_stats(segments),
+                                         "silver.int_vehicle_daily_stats", "event_date"),
+            F.trunc("event_date", "MM"), months)
         warehouse.replace_partitions(gold.mart_driver_performance(daily, stg["stg_vehicles"]),
                                      "gold.mart_driver_performance", "month")
     warehouse.replace(gold.mart_fleet_health(stg["stg_vehicles"], stg["stg_maintenance"], as_of),
@@ -110,7 +115,7 @@ DAY_COLUMNS = {
 
 
 def checked_tables(warehouse: Warehouse, latest_dimensions: bool = False,
-                   dates: list[date] | None = None) -> dict[str, DataFrame]:
+                   dates: Days | None = None) -> dict[str, DataFrame]:
     """Every table with its checks' name; the daily ones cut to ``dates`` if given."""
     raw = raw_tables(warehouse, latest_dimensions)
     tables = {f"raw.{t}": df for t, df in raw.items()}
@@ -118,7 +123,7 @@ def checked_tables(warehouse: Warehouse, latest_dimensions: bool = False,
     for name in ("int_route_segments", "int_vehicle_daily_stats"):
         tables[f"silver.{name}"] = warehouse.read(f"silver.{name}")
     tables |= {f"gold.{n}": df for n, df in marts(warehouse).items()}
-    return {n: _on(df, DAY_COLUMNS[n], dates) if n in DAY_COLUMNS else df for n, df in tables.items()}
+    return {n: _on(df, F.col(DAY_COLUMNS[n]), dates) if n in DAY_COLUMNS else df for n, df in tables.items()}
 
 
 def run(spark: SparkSession, landing: str, root: str, batch_date: str, as_of: date,

@@ -19,6 +19,8 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # call sites in error messages cost the driver a round trip per expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():

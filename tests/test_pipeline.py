@@ -83,6 +83,22 @@ def test_repeated_dimensions_fail_the_gate(spark, landing, tmp_path):
         pipeline.run(spark, landing, root, "2024-01-30", AS_OF)
 
 
+def test_undated_pings_are_rebuilt_too(spark, landing, tmp_path):
+    known = F.when(~F.col("event_id").endswith("3"), F.col("event_date"))
+    undated = fixtures.gps_events(spark, TINY).withColumn("event_date", known)
+    for table in ("routes", "vehicles", "stops", "maintenance_logs"):
+        land_frame(fixtures.RAW[table](spark, TINY), tmp_path, table, "2024-02-01")
+    land_frame(undated, tmp_path, "gps_events", "2024-02-01")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    pipeline.load_all(spark, str(tmp_path), warehouse)
+    dates = pipeline.dates_of_batch(warehouse, "2024-02-01")
+    assert None in dates and len(dates) > 1
+    pipeline.build(warehouse, AS_OF, dates)
+    in_box = pipeline.staged(pipeline.raw_tables(warehouse))["stg_gps_events"].count()
+    assert warehouse.read("silver.int_route_segments").count() == in_box > 0
+    assert warehouse.read("gold.mart_driver_performance").where("month IS NULL").count() > 0
+
+
 def test_nothing_runs_without_the_files(spark, landing, tmp_path):
     with pytest.raises(FileNotFoundError):
         pipeline.run(spark, landing, str(tmp_path / "wh"), "2024-02-01", AS_OF)
