@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import mixing, sentencepiece_codec
+from roadbook.llm import mixing, sentencepiece_codec, simhash
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def piece_digests(coded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op3_simhash(spark, sf_dir):
+    named = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return named.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
 @query
 def op7_mixing(spark, sf_dir):
     placed = mixing.queue(table(spark, sf_dir, "documents"))
