@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import mixing, sentencepiece_codec, simhash
+from roadbook.llm import html_text, mixing, sentencepiece_codec, simhash
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,9 @@ def op7_mixing(spark, sf_dir):
 
 
 ORACLE_SQL["op7_mixing"] = mixing.sql()
+
+
+@query
+def op10_html_text(spark, sf_dir):
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -1,0 +1,69 @@
+"""Operator 10 against the articles of the pages' own template and against pages of other kinds."""
+
+from __future__ import annotations
+
+import html as entities
+import re
+
+import pytest
+
+from roadbook.llm import html_text
+from roadbook.llm.common import table
+from roadbook.llm.queries import QUERIES
+
+from .conftest import TINY
+
+
+def article(page: str) -> str:
+    """The text of the one article of a page of the test tables' template."""
+    body = re.search("<article>(.*?)(</article>|$)", page, re.S)[1]
+    if not page.endswith("</html>"):
+        body = re.sub("<[^>]*$", "", body)
+    parts = re.split("</?(?:p|h1)>", body)
+    parts = [" ".join(entities.unescape(re.sub("<[^>]+>", "", p)).split()) for p in parts]
+    return "\n".join(p for p in parts if p)
+
+
+def test_query_equals_the_articles(spark):
+    pages = {r.page_id: r for r in table(spark, TINY, "pages").collect()}
+    ours = QUERIES["op10_html_text"](spark, TINY).collect()
+    assert len(ours) == len(pages)
+    for r in ours:
+        text = article(pages[r.page_id].html)
+        assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, text, len(text))
+
+
+LONG = "a reader says very much about this, at great length, longer than any part of the article itself, on and on"
+MIXED = f"""<html><body class="has-sidebar"><div id="top-menu"><a href=x>Home</a></div><div class="wrap"><div class="content">
+<h1>Title &amp; more</h1><div class="entry post-12"><p>First   para<br>two &lt; three.</p><p class="notice">Cookies!</p>
+<p>Second <span class="ad">BUY</span> x<form>f</form><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></div>
+<section id="comments"><p>{LONG}</p></section></div><aside>side</aside></div><footer>foot</footer></body></html>"""
+
+
+def test_what_is_left_out():
+    assert html_text.extract(MIXED, None).split("\n") == ["Title & more", "First para two < three.", "Second x", "one", "two", "a", "b"]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("plain text only", "plain text only"), ("<p>a<p>b", "a\nb"), ("<div", ""), ("<p>x</p", "x"), ("a < b <3", "a < b <3"),
+    ("<script>x", ""), ("<!-- c", ""), ("&amp &am &#x41; &copy", "& &am A ©"),
+    ("<article><p>it's <a title='>'>q</a>.</article>", "it's q."), ("<p>&am<b>p;</b></p>", "&amp;"),
+    ("<article>" + "<div>" * 3000 + "deep", "deep"), ("<article><p>" + "long " * 50_000, ("long " * 50_000).strip()),
+    ("<article><header><p>by me</p></header><p>x&nbsp; y</p><p hidden>h</p><article class=comment>no</article>", "x y"),
+    ("<body><nav>a</nav><footer>b</footer>", ""),
+])
+def test_odd_pages(page, text):
+    assert html_text.extract(page, None) == text
+
+
+def test_the_host_outvotes_a_page(spark):
+    """One page's comments, in a box without a name, outweigh its article; the host's other pages say where to look."""
+    page = "<html><body><div class=story{0}><p>the story of page {0} as told here</p></div><div class=talk><p>{1}</p></div></body></html>"
+    rows = [(i, "http://A.example/x", page.format(i, "no")) for i in range(5)] + [(5, "http://u@a.example:80/y", page.format(5, LONG))]
+    rows += [(6, "http://b.example/", page.format(6, LONG)), (7, None, page.format(7, "no")), (8, "odd", None), (9, "http://a.example", ""),
+             (5, "http://u@a.example:80/y", page.format(5, LONG))]
+    df = spark.createDataFrame([(*r, "h", "p") for r in rows], "page_id long, url string, html string, host string, path string")
+    ours = sorted((r.page_id, r.text) for r in html_text.main_text(df).collect())
+    story = "the story of page {} as told here"
+    assert ours == sorted([(i, story.format(i)) for i in (0, 1, 2, 3, 4, 5, 5, 7)] + [(6, LONG), (8, ""), (9, "")])
+    assert html_text.main_text(df.limit(0)).count() == 0
