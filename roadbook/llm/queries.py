@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import html_text, mixing, sentencepiece_codec, simhash
+from roadbook.llm import html_text, mixing, sentencepiece_codec, simhash, toxicity
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,13 @@ def op7_mixing(spark, sf_dir):
 ORACLE_SQL["op7_mixing"] = mixing.sql()
 
 
+@query
+def op9_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    chain, _ = toxicity.train(documents, table(spark, sf_dir, "labels"), toxicity.categories())
+    return toxicity.score(documents, chain).withColumnRenamed("is_toxic", "toxic")
+
+
 @query
 def op10_html_text(spark, sf_dir):
     found = html_text.main_text(table(spark, sf_dir, "pages"))
