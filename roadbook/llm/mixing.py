@@ -137,21 +137,21 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     rows are repeated in turn until the id's turns are used up.
     """
     placed = queue(df, id_col, text_col, source_col, **options)
-    turns = (placed.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.greatest("turns", F.lit(1)))))
-             .where(F.col("_epoch") <= F.col("turns"))
-             .withColumn("_finish", F.col("first_finish") + (F.col("_epoch") - 1) * F.col("source_size") / F.col("target"))
-             .select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col("size").alias("_size"), "_finish"))
-    same = Window.partitionBy("_id", "_source", "_size")
-    kinds = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("_text"))
-    rows = (df.withColumns({"_id": F.col(id_col), "_source": F.col(source_col), "_text": F.col(text_col),
-                            "_size": words(F.col(text_col))})
-            .withColumns({"_row": F.row_number().over(kinds) - 1, "_rows": F.count("*").over(same)})
-            .withColumnsRenamed({"_id": "_of", "_source": "_of_source", "_size": "_of_size"}))
-    dealt = turns.withColumn("_turn", F.row_number().over(same.orderBy("_finish")) - 1)
-    match = (F.col("_id").eqNullSafe(F.col("_of")) & F.col("_source").eqNullSafe(F.col("_of_source"))
-             & (F.col("_size") == F.col("_of_size")) & (F.col("_turn") % F.col("_rows") == F.col("_row")))
-    return (rows.join(dealt, match).repartitionByRange("_finish", "_of")
-            .sortWithinPartitions("_finish", "_of").select(*df.columns))
+    turns = (placed.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(1), F.greatest("turns", F.lit(1)))))
+             .where(F.col("__mix_epoch") <= F.col("turns"))
+             .withColumn("__mix_finish", F.col("first_finish") + (F.col("__mix_epoch") - 1) * F.col("source_size") / F.col("target"))
+             .select(F.col(id_col).alias("__mix_id"), F.col(source_col).alias("__mix_source"), F.col("size").alias("__mix_size"), "__mix_finish"))
+    same = Window.partitionBy("__mix_id", "__mix_source", "__mix_size")
+    kinds = Window.partitionBy("__mix_id", "__mix_source", "__mix_size").orderBy(F.xxhash64("__mix_text"))
+    rows = (df.withColumns({"__mix_id": F.col(id_col), "__mix_source": F.col(source_col), "__mix_text": F.col(text_col),
+                            "__mix_size": words(F.col(text_col))})
+            .withColumns({"__mix_row": F.row_number().over(kinds) - 1, "__mix_rows": F.count("*").over(same)})
+            .withColumnsRenamed({"__mix_id": "__mix_of", "__mix_source": "__mix_of_source", "__mix_size": "__mix_of_size"}))
+    dealt = turns.withColumn("__mix_turn", F.row_number().over(same.orderBy("__mix_finish")) - 1)
+    match = (F.col("__mix_id").eqNullSafe(F.col("__mix_of")) & F.col("__mix_source").eqNullSafe(F.col("__mix_of_source"))
+             & (F.col("__mix_size") == F.col("__mix_of_size")) & (F.col("__mix_turn") % F.col("__mix_rows") == F.col("__mix_row")))
+    return (rows.join(dealt, match).repartitionByRange("__mix_finish", "__mix_of")
+            .sortWithinPartitions("__mix_finish", "__mix_of").select(*df.columns))
 
 
 def _in_sql(text: str) -> str:

@@ -28,11 +28,11 @@ def op1_sentencepiece(spark, sf_dir):
     return piece_digests(coded)
 
 
-def piece_digests(coded: DataFrame) -> DataFrame:
+def piece_digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 
 @query

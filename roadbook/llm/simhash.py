@@ -73,9 +73,9 @@ def fingerprints(df: DataFrame, text_col: str, keep: list[str], size: int = SHIN
         for batch in batches:
             prints = [fingerprint((t or "").encode(), size) for t in batch.column(at).to_pylist()]
             signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], signed], names=[*keep, "_print"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], signed], names=[*keep, "__simhash_print"])
 
-    schema = ", ".join([f"`{c}` {type_of(df, c)}" for c in keep] + ["_print long"])
+    schema = ", ".join([f"`{c}` {type_of(df, c)}" for c in keep] + ["__simhash_print long"])
     return df.select(*columns).mapInArrow(work, schema)
 
 
@@ -156,7 +156,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "simhash")
-    rows = scratch.keep(fingerprints(df, text_col, [id_col], size).withColumnRenamed("_print", "print"))
+    rows = scratch.keep(fingerprints(df, text_col, [id_col], size).withColumnRenamed("__simhash_print", "print"))
     prints = scratch.keep(rows.groupBy("print").agg(F.min(id_col).alias("first")))
     found = scratch.keep(links(prints, scratch, radius))
     joined = components(found, scratch).withColumnRenamed("node", "print")
@@ -177,15 +177,15 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     named = near_duplicates(df, id_col, text_col, size, radius)
     columns = df.columns
-    stay = named.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stays")).distinct()
-    same = Window.partitionBy("_stays").orderBy(F.xxhash64(*columns))
-    known = (df.join(stay, F.col(id_col) == F.col("_stays"))
-             .withColumn("_nth", F.row_number().over(same)).where("_nth = 1").select(*columns))
-    nameless = named.where("component_id is null").select(F.col("print").alias("_of"), F.col("group").alias("_group")).distinct()
-    alike = Window.partitionBy("_group").orderBy(F.xxhash64(*columns))
+    stay = named.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__simhash_stays")).distinct()
+    same = Window.partitionBy("__simhash_stays").orderBy(F.xxhash64(*columns))
+    known = (df.join(stay, F.col(id_col) == F.col("__simhash_stays"))
+             .withColumn("__simhash_nth", F.row_number().over(same)).where("__simhash_nth = 1").select(*columns))
+    nameless = named.where("component_id is null").select(F.col("print").alias("__simhash_of"), F.col("group").alias("__simhash_group")).distinct()
+    alike = Window.partitionBy("__simhash_group").orderBy(F.xxhash64(*columns))
     unknown = (fingerprints(df.where(F.col(id_col).isNull()), text_col, columns, size)
-               .join(nameless, F.col("_print") == F.col("_of"))
-               .withColumn("_nth", F.row_number().over(alike)).where("_nth = 1").select(*columns))
+               .join(nameless, F.col("__simhash_print") == F.col("__simhash_of"))
+               .withColumn("__simhash_nth", F.row_number().over(alike)).where("__simhash_nth = 1").select(*columns))
     return known.unionByName(unknown)
 
 

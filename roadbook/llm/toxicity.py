@@ -256,11 +256,16 @@ def train(df: DataFrame, labels: DataFrame, categories: dict[str, F.Column], id_
 
 
 def score(df: DataFrame, chain: Chain, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and for each category its probability ``p_`` and its verdict ``is_``."""
+    """The columns ``keep`` and for each category its probability ``p_`` and its verdict ``is_``.
+
+    Underscores are put before these names where a kept column has one of them.
+    """
     ship(df.sparkSession)
     keep = list(keep)
     columns = keep if text_col in keep else [*keep, text_col]
     at, names = columns.index(text_col), [f"{kind}_{c}" for c in chain.categories for kind in ("p", "is")]
+    while set(names) & set(keep):
+        names = [f"_{n}" for n in names]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,7 +274,7 @@ def score(df: DataFrame, chain: Chain, text_col: str = "text", keep: Sequence[st
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[*keep, *names])
 
     schema = ", ".join([f"`{c}` {type_of(df, c)}" for c in keep]
-                       + [f"`p_{c}` double, `is_{c}` boolean" for c in chain.categories])
+                       + [f"`{n}` {kind}" for n, kind in zip(names, ("double", "boolean") * len(chain.categories))])
     return df.select(*columns).mapInArrow(work, schema)
 
 

@@ -68,5 +68,7 @@ def test_strange_rows(spark, strange):
         chain, _ = toxicity.train(strange, none, toxicity.categories())
         assert {r.is_toxic for r in toxicity.score(strange, chain).collect()} == {False}
     assert toxicity.score(strange.limit(0), chain).count() == 0
+    kept = toxicity.score(strange.withColumnRenamed("size", "is_toxic"), chain, keep=["doc_id", "is_toxic"])
+    assert kept.columns == ["doc_id", "is_toxic", "_p_poor", "_is_poor", "_p_toxic", "_is_toxic"] and kept.count()
     kept = toxicity.score(strange, chain, keep=strange.columns)
     assert kept.columns[: len(strange.columns)] == strange.columns
