@@ -15,6 +15,28 @@ from pyspark.sql import functions as F
 from roadbook.llm.common import Scratch
 
 
+class Forest:
+    """Which nodes some links join, within one task."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the link joins what was not joined."""
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        self.parent[max(a, b)] = min(a, b)
+        return True
+
+
 def _with_least(edges: DataFrame) -> DataFrame:
     """``u, v`` with ``m``, the smallest of u and its neighbours."""
     least = edges.groupBy("u").agg(F.min("v").alias("v")).select(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import html_text, mixing, sentencepiece_codec, simhash, toxicity
+from roadbook.llm import cap_filters, html_text, mixing, sentencepiece_codec, simhash, toxicity, voronoi_topk
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,35 @@ def piece_digests(coded: DataFrame, *more: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 
+@query
+def op2_cap_filters(spark, sf_dir):
+    found = cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query
 def op3_simhash(spark, sf_dir):
     named = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return named.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op6_voronoi_topk(spark, sf_dir):
+    return voronoi_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE_SQL["op6_voronoi_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(generate_series(1, len(q.x)), lambda i: q.x[i] * c.x[i]))::bigint AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
 @query
 def op7_mixing(spark, sf_dir):
     placed = mixing.queue(table(spark, sf_dir, "documents"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadbook.llm.common import Scratch, ship, type_of, workers
-from roadbook.llm.components import components
+from roadbook.llm.components import Forest, components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 SEGMENTS = 4
@@ -125,14 +125,7 @@ def links(prints: DataFrame, scratch: Scratch, radius: int = RADIUS, segments: i
 
 def forest(here: np.ndarray, there: np.ndarray, same: bool, radius: int) -> np.ndarray:
     """Of the links between two tiles (or inside one), as many as it takes to join what they join."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
+    joined = Forest()
     kept = []
     rows = max(1, COMPARED // max(1, len(there)))
     for start in range(0, len(here), rows):
@@ -142,8 +135,7 @@ def forest(here: np.ndarray, there: np.ndarray, same: bool, radius: int) -> np.n
         if same:
             left, right = left[later := right > left + start], right[later]
         for a, b in zip(part[left].tolist(), there[right].tolist()):
-            if (x := root(a)) != (y := root(b)):
-                parent[max(x, y)] = min(x, y)
+            if joined.join(a, b):
                 kept.append((a, b))
     return np.array(kept, np.int64).reshape(-1, 2)
 
