@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import cap_filters, html_text, mixing, sentencepiece_codec, simhash, toxicity, voronoi_topk
+from roadbook.llm import cap_filters, html_text, mixing, sentencepiece_codec, simhash, token_counts, toxicity, training_order, voronoi_topk
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op3_simhash(spark, sf_dir):
     return named.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op5_token_counts(spark, sf_dir):
+    vocabulary = token_counts.word_pieces(sentencepiece_codec.read_model(PIECES))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), *vocabulary)
+
+
 @query
 def op6_voronoi_topk(spark, sf_dir):
     return voronoi_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -73,6 +79,12 @@ def op7_mixing(spark, sf_dir):
 ORACLE_SQL["op7_mixing"] = mixing.sql()
 
 
+@query
+def op8_training_order(spark, sf_dir):
+    model = sentencepiece_codec.read_model(PIECES)
+    return training_order.in_training_order(table(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
