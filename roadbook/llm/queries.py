@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import cap_filters, html_text, mixing, sentencepiece_codec, simhash, token_counts, toxicity, training_order, voronoi_topk
+from roadbook.llm import (
+    cap_filters, html_text, mixing, pseudo_likelihood, sentencepiece_codec, simhash, token_counts, toxicity, training_order,
+    voronoi_topk,
+)
 from roadbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,12 @@ def op3_simhash(spark, sf_dir):
     return named.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+@query
+def op4_pseudo_likelihood(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(documents, *pseudo_likelihood.train(documents))
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     vocabulary = token_counts.word_pieces(sentencepiece_codec.read_model(PIECES))
