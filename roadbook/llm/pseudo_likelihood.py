@@ -16,7 +16,7 @@ nor a task holds more than one set of weights, whatever the corpus, and the sum
 does not depend on the tasks' order.
 
 Defined results: null and empty texts have no tokens, score 0 and no mean; texts
-of any length are scored whole; repeated rows are rows of their own; a corpus
+of any length are scored whole; repeated rows are rows of their own, equal up to rounding; a corpus
 without words leaves the network untrained; an empty table gives an empty table;
 columns other than id and text are not looked at.
 """
