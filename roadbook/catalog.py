@@ -1,6 +1,6 @@
 """The named queries, wired to the test tables.
 
-Each takes ``(spark, sf_dir)`` and builds a lazy DataFrame over whole tables.
+Each takes ``(spark, sf_dir)`` and builds a DataFrame over whole tables; building one starts no job.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from roadbook.checks import quality
 from roadbook.functions import fleet
 from roadbook.operators import rejects, staging
 from roadbook.plans import gold, metrics, serving, silver
-from roadbook.session import stored
+from roadbook.sources import landing
 
 # The test tables' fixed "today": service logs end in 2001, pings in January 2024.
 HEALTH_AS_OF = date(2001, 8, 15)
@@ -174,6 +174,17 @@ def dash_fleet_health(spark, sf_dir):
     return serving.fleet_health_rows(mart_fleet_health(spark, sf_dir), ["light", "medium", "heavy"])
 
 
+@query
+def dash_selected_classes(spark, sf_dir):
+    return serving.fleet_health_rows(mart_fleet_health(spark, sf_dir), ["heavy", "light"])
+
+
+@query
+def dash_selected_routes(spark, sf_dir):
+    return serving.efficiency_rows(mart_route_efficiency(spark, sf_dir),
+                                   *serving.default_window(EFFICIENCY_AS_OF), ["RT-0002", "RT-0026", "RT-0005"])
+
+
 @query
 def dash_kpis(spark, sf_dir):
     return serving.kpis(dash_efficiency(spark, sf_dir), mart_fleet_health(spark, sf_dir))
@@ -217,22 +228,27 @@ def metric_by_month(spark, sf_dir):
                                 ["avg_speed", "idle_pct", "total_miles", "safety_score"])
 
 
+@query
+def metric_where(spark, sf_dir):
+    marts = {"mart_route_efficiency": mart_route_efficiency(spark, sf_dir)}
+    return metrics.metric_query(marts, "mart_route_efficiency", ["zone"], ["avg_speed", "vehicles_on_route"],
+                                where={"zone": ["ASIA", "EUROPE"], "segment_date": (date(2024, 1, 5), date(2024, 1, 20))})
+
+
 # data quality
 
-def _checked(spark, sf_dir, store: bool = False):
-    """Every checked table. ``store`` writes the segments once, like the stored
-    table they stand for; worth it where most tables built on them are checked."""
-    segments = _segments(spark, sf_dir)
-    if store:
-        segments = stored(segments)
+def _checked(spark, sf_dir):
+    """Every checked table, from raw tables with something wrong of every kind."""
+    raw = fixtures.dirty(spark, sf_dir)
+    routes, vehicles = staging.stg_routes(raw["routes"]), staging.stg_vehicles(raw["vehicles"])
+    gps, maintenance = staging.stg_gps_events(raw["gps_events"]), staging.stg_maintenance(raw["maintenance_logs"])
+    segments = silver.int_route_segments(gps, routes)
     daily = silver.int_vehicle_daily_stats(segments)
-    vehicles, maintenance = stg_vehicles(spark, sf_dir), stg_maintenance(spark, sf_dir)
-    raw = {f"raw.{t}": fixtures.RAW[t](spark, sf_dir)
-           for t in ("routes", "vehicles", "gps_events", "maintenance_logs")}
-    return raw | {
-        "silver.stg_routes": stg_routes(spark, sf_dir),
+    return {
+        **{f"raw.{name}": raw[name] for name in ("routes", "vehicles", "gps_events", "maintenance_logs")},
+        "silver.stg_routes": routes,
         "silver.stg_vehicles": vehicles,
-        "silver.stg_gps_events": stg_gps_events(spark, sf_dir),
+        "silver.stg_gps_events": gps,
         "silver.stg_maintenance": maintenance,
         "silver.int_route_segments": segments,
         "silver.int_vehicle_daily_stats": daily,
@@ -244,7 +260,7 @@ def _checked(spark, sf_dir, store: bool = False):
 
 @query
 def dq_not_null(spark, sf_dir):
-    return quality.report(_checked(spark, sf_dir, store=True), ["not_null"])
+    return quality.report(_checked(spark, sf_dir), ["not_null"])
 
 
 @query
@@ -264,7 +280,7 @@ def dq_range(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    return quality.report(_checked(spark, sf_dir, store=True))
+    return quality.report(_checked(spark, sf_dir))
 
 
 @query
@@ -275,7 +291,7 @@ def raw_row_counts(spark, sf_dir):
 # ingest
 
 def _parsed(spark, sf_dir):
-    return rejects.parse(fixtures.dirty_gps_strings(spark, sf_dir), "gps_events")
+    return rejects.parse(landing.read_lines(fixtures.dirty_gps_lines(spark, sf_dir), "gps_events"), "gps_events")
 
 
 @query

@@ -121,29 +121,70 @@ RAW = {
 }
 
 
-def dirty_gps_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ping table as landed text, with NULL tokens, empty keys and bad numbers.
-
-    Carries ``_bad`` like a file read does; no line is malformed here.
+def _spoilt(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Columns replaced by rules that see the columns as they were."""
+    return df.select(*[rules[c].alias(c) if c in rules else F.col(c) for c in df.columns])
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables with missing, repeated, unknown and impossible values, by the numbers of their ids."""
+    number = lambda c: F.substring(c, 4, 30).cast("bigint")
+    hit = lambda c, every, bad, column: F.when(number(c) % every == 0, bad).otherwise(F.col(column))
+    none = F.lit(None)
+    return {
+        "routes": _spoilt(routes(spark, sf_dir), {
+            "route_id": hit("route_id", 12, "RT-0001", "route_id"),
+            "zone": hit("route_id", 7, none, "zone"),
+            "total_stops": hit("route_id", 5, 0, "total_stops"),
+        }),
+        "vehicles": _spoilt(vehicles(spark, sf_dir), {
+            "vehicle_id": hit("vehicle_id", 97, "VH-000001", "vehicle_id"),
+            "vehicle_class": hit("vehicle_id", 11, "tank", "vehicle_class"),
+            "status": hit("vehicle_id", 13, none, "status"),
+            "year": hit("vehicle_id", 17, 2009, "year"),
+        }),
+        "gps_events": _spoilt(gps_events(spark, sf_dir), {
+            "event_id": F.when(number("event_id") % 101 == 0, none).otherwise(
+                hit("event_id", 103, "EV-0000001", "event_id")),
+            "vehicle_id": hit("event_id", 89, none, "vehicle_id"),
+            "route_id": hit("event_id", 83, none, "route_id"),
+            "speed_mph": F.when(number("event_id") % 79 == 0, none).otherwise(
+                hit("event_id", 73, 150.0, "speed_mph")),
+        }),
+        "maintenance_logs": _spoilt(maintenance_logs(spark, sf_dir), {
+            "log_id": F.when(number("log_id") % 29 == 0, none).otherwise(hit("log_id", 37, "ML-000001", "log_id")),
+            "vehicle_id": hit("log_id", 31, none, "vehicle_id"),
+            "cost_usd": F.when(number("log_id") % 19 == 0, -F.col("cost_usd")).otherwise(
+                hit("log_id", 23, none, "cost_usd")),
+        }),
+    }
+
+
+def dirty_gps_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ping table as lines of a landed file, ``line``, with every fault that a load must tell.
+
+    Missing values and keys, bad, non-finite and enormous numbers, quoted fields
+    with doubled quotes, short and long lines, an id that is too long.
     """
     events = _read(spark, sf_dir, "events")
     n, text = F.col("event_id"), lambda c: c.cast("string")
-    dirty_id = F.when(n % 40 == 7, "").otherwise(_id("EV-", n, 7))
-    dirty_speed = (F.when(n % 50 == 0, "bad").when(n % 50 == 1, "NULL").when(n % 50 == 2, "")
-                   .when(n % 50 == 3, "null").otherwise(F.concat(text(n % 80), F.lit(".5"))))
-    dirty_heading = F.when(n % 60 == 5, "12.x").otherwise(text(n % 360))
     vehicle = F.col("user_id") % 20
-    row = F.struct(
-        dirty_id.alias("event_id"),
-        _id("VH-", vehicle + 1, 6).alias("vehicle_id"),
-        _id("RT-", (vehicle + (n % 3) * 9) % 27 + 1, 4).alias("route_id"),
-        text(F.lit(29.45) + (n * 7919 % 7001) / F.lit(10000.0)).alias("lat"),
-        text(F.lit(-95.85) + (n * 104729 % 8001) / F.lit(10000.0)).alias("lon"),
-        dirty_speed.alias("speed_mph"),
-        dirty_heading.alias("heading_deg"),
-        text(F.col("ts").cast("timestamp_ntz")).alias("event_ts"),
-        text(F.col("ts").cast("date")).alias("event_date"),
-        F.lit(None).cast("string").alias("_bad"),
-    )
-    # inline makes the text a value, as in a file, not an expression each use repeats
-    return events.select(F.inline(F.array(row)))
+    event_id = F.when(n % 40 == 7, "").otherwise(_id("EV-", n, 7))
+    route_id = _id("RT-", (vehicle + (n % 3) * 9) % 27 + 1, 4)
+    route_id = F.when(n % 70 == 11, F.concat(route_id, F.lit("-" + "9" * 20))).when(n % 70 == 12, '"RT-""7"" a, b"').otherwise(route_id)
+    speed = F.concat(text(n % 80), F.lit(".5"))
+    for rest, value in enumerate(["bad", "NULL", "", "null", "1e15", "NaN", "-Infinity", "1e300"]):
+        speed = F.when(n % 50 == rest, value).otherwise(speed)
+    fields = [
+        event_id,
+        F.when(n % 3 == 0, F.concat(F.lit('"'), _id("VH-", vehicle + 1, 6), F.lit('"'))).otherwise(_id("VH-", vehicle + 1, 6)),
+        route_id,
+        text(F.lit(29.45) + (n * 7919 % 7001) / F.lit(10000.0)),
+        text(F.lit(-95.85) + (n * 104729 % 8001) / F.lit(10000.0)),
+        speed,
+        F.when(n % 60 == 5, "12.x").otherwise(text(n % 360)),
+        text(F.col("ts").cast("timestamp_ntz")),
+    ]
+    day = F.when(n % 70 == 9, "").when(n % 70 == 10, F.concat(F.lit(","), text(F.col("ts").cast("date")), F.lit(",more"))).otherwise(
+        F.concat(F.lit(","), text(F.col("ts").cast("date"))))
+    return events.select(F.concat(F.concat_ws(",", *fields), day).alias("line"))

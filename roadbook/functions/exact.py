@@ -36,12 +36,17 @@ def half_away(numerator: Column, denominator: Column) -> Column:
 
 def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
     """numerator / denominator as a double, for a numerator counted in 10**-scale steps."""
-    return half_away(numerator, denominator) / F.lit(float(10**scale))
+    return half_away(wide(numerator), wide(denominator)) / F.lit(float(10**scale))
 
 
 def total(col: str, scale: int) -> Column:
     """Aggregate: sum of a column that holds ``scale`` decimals."""
-    return F.sum(units(col, scale)).cast("double") / F.lit(float(10**scale))
+    return wide_sum(units(col, scale)).cast("double") / F.lit(float(10**scale))
+
+
+def wide_sum(steps: Column) -> Column:
+    """Aggregate: sum of bigints as a wide whole number, in two halves that are bigints each."""
+    return wide(F.sum(F.shiftright(steps, 20))) * 2**20 + wide(F.sum(steps.bitwiseAND(F.lit(2**20 - 1))))
 
 
 def long_total(col: str, scale: int) -> Column:
@@ -51,9 +56,7 @@ def long_total(col: str, scale: int) -> Column:
     of 2**20 each, both bigints, so that neither a group of 10**11 rows
     overflows nor the hot path needs a decimal.
     """
-    steps = units(col, scale)
-    high, low = F.shiftright(steps, 20), steps.bitwiseAND(F.lit(2**20 - 1))
-    return wide(F.sum(high)) * 2**20 + wide(F.sum(low))
+    return wide_sum(units(col, scale))
 
 
 def mean(col: str, scale: int) -> Column:

@@ -1,82 +1,34 @@
 """The previous row of each group, also when one group holds most of the data.
 
-A window puts a whole group into one task. That is the right plan for ordinary
-groups. Groups above ``max_group_rows`` are instead cut into slices of the
-sorted order by a range partitioning, the lag is taken inside each slice, and
-the first row of a slice gets the last row of the slice before it. Both ways
-give the same rows; no row is dropped or sampled.
+A window over a whole group puts it into one task. Here a group is cut into
+buckets of its order, such as hours: the lag is taken inside each bucket, and the
+first row of a bucket gets the last row of the bucket before it, by a second
+window over one row a bucket. One path for every size, lazy, one full shuffle;
+what a task must hold is one bucket, and one row for each bucket of a group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.session import stored
-from roadbook.settings import MAX_GROUP_ROWS, MAX_SLICES
-
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: list[str],
-                  max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  bucket: Column) -> DataFrame:
     """Add ``prev_<column>``: the value one row earlier by ``order`` within ``keys``.
 
-    NULLs sort last. The size check reads only the key columns and is
-    aggregated before its shuffle; one row comes back to the driver. ``df``
-    should be a scan with filters and projections: the tie-break numbers its
-    rows in file order, which a retried task repeats exactly.
+    NULLs sort last. ``bucket`` must follow the order: a row that sorts later has
+    an equal or a later bucket, a NULL one being the latest. Rows that are equal
+    in ``order`` have no order of their own, so give it enough columns.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_group_rows)
-    found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")).first()
-    if found["groups"] == 0:
-        return _by_window(df, keys, order, columns)
-
-    # at most rows / max_group_rows keys, so AQE can broadcast them by measured size
-    large = stored(large.select(*[F.col(k).alias(f"_large_{k}") for k in keys]))
-    is_large = _same([F.col(k) for k in keys], [F.col(f"_large_{k}") for k in keys])
-    ordinary = df.join(large, is_large, "left_anti")
-    # _tie makes every row distinct, so even equal rows can be cut apart
-    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
-    oversized = numbered.join(large, is_large, "left_semi")
-    slices = min(2 * ceil(found["rows"] / max_group_rows), MAX_SLICES)
-    return _by_window(ordinary, keys, order, columns).unionByName(
-        _by_slices(oversized, keys, order, columns, slices).drop("_tie"))
-
-
-def _same(left: list[Column], right: list[Column]) -> Column:
-    return reduce(Column.__and__, (a.eqNullSafe(b) for a, b in zip(left, right)))
-
-
-def _sorted(order: list[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in order]
-
-
-def _by_window(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*_sorted(order))
-    return df.select("*", *[F.lag(c).over(window).alias(f"prev_{c}") for c in columns])
-
-
-def _by_slices(df: DataFrame, keys: list[str], order: list[str], columns: list[str],
-               slices: int) -> DataFrame:
-    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *_sorted(order), "_tie")
-    # written once: both readers below must see the same cuts
-    sliced = stored(ranged.withColumn("_slice", F.spark_partition_id()))
-
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*_sorted(order), F.col("_tie"))
-    lagged = sliced.withColumn("_before", F.lag(F.struct(*columns)).over(inside))
-
-    # the last row of a slice, found where the slice lies: one row a slice and key is shuffled
-    position = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))], "_tie")
-    last = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*columns), position).alias("_end"))
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = last.select(*[F.col(k).alias(f"_carried_{k}") for k in keys],
-                          F.col("_slice").alias("_carried_slice"),
-                          F.lag("_end").over(across).alias("_carried"))
-
-    match = _same([F.col(k) for k in keys], [F.col(f"_carried_{k}") for k in keys]) & (
-        F.col("_slice") == F.col("_carried_slice"))
-    before = F.coalesce(F.col("_before"), F.col("_carried"))
-    return lagged.join(carried, match, "left").select(
-        *df.columns, *[before[c].alias(f"prev_{c}") for c in columns])
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    across = Window.partitionBy(*keys).orderBy(F.col("_bucket").asc_nulls_last())
+    values = F.struct(*columns)
+
+    placed = df.withColumn("_bucket", bucket).select(
+        "*", F.row_number().over(inside).alias("_nth"), F.lag(values).over(inside).alias("_before"),
+        F.last(values).over(whole).alias("_end"))
+    first = placed.where("_nth = 1").withColumn("_before", F.lag("_end").over(across))
+    return placed.where("_nth > 1").unionByName(first).select(
+        *df.columns, *[F.col("_before")[c].alias(f"prev_{c}") for c in columns])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadbook.schemas import TABLES, Table
+from roadbook.settings import LARGEST_DOUBLE
 from roadbook.sources.landing import CORRUPT
 
 # The spellings of a missing value in a landed file.
@@ -36,6 +37,8 @@ def _reason(spec: Table, has_corrupt: bool) -> Column:
             valid = F.abs(c.name) < float("inf") if c.type == "double" else F.col(c.name).isNotNull()
             bad = F.col(_text(c.name)).isNotNull() & ~F.coalesce(valid, F.lit(False))
             found.append(F.when(bad, f"bad {c.name}"))
+            if c.type == "double":  # a value that could not be summed exactly must not stop every later run
+                found.append(F.when(F.abs(c.name) > LARGEST_DOUBLE, f"out of bounds {c.name}"))
     return F.coalesce(*found)
 
 
@@ -43,7 +46,8 @@ def parse(raw: DataFrame, table: str) -> DataFrame:
     """Typed columns, ``_reason``, and ``_raw`` (the original text) on bad rows.
 
     Other columns of ``raw``, such as the partition date, pass through. Each
-    step builds on the columns of the one before, so a text is cast only once.
+    step builds on the columns of the one before; where a filter on the reason
+    is pushed down, Spark works out a text's cast for the filter once more.
     """
     spec = TABLES[table]
     names = [c for c in raw.columns if c in spec.names or c == CORRUPT]

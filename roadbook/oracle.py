@@ -75,7 +75,7 @@ stg_gps AS (
 lagged AS (
   SELECT *, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(event_ts) OVER w AS prev_ts
   FROM stg_gps
-  WINDOW w AS (PARTITION BY vehicle_id, route_id, event_date ORDER BY event_ts, event_id)),
+  WINDOW w AS (PARTITION BY vehicle_id, route_id, event_date ORDER BY event_ts, event_id, lat, lon)),
 measured AS (
   SELECT *,
     2 * 3958.8e0 * asin(sqrt(pow(sin(radians((lat - prev_lat) / 2)), 2)
@@ -164,19 +164,26 @@ performance AS (
       AS safety_score
   FROM month_sums m LEFT JOIN raw_vehicles v ON m.vehicle_id = v.vehicle_id),
 landed AS (
-  SELECT {GPS_COLUMNS.replace('AS event_id', 'AS clean_id')
+  SELECT {GPS_COLUMNS.replace('AS event_id', 'AS clean_id').replace('AS route_id', 'AS clean_route')
                      .replace('AS speed_mph', 'AS clean_speed')
                      .replace('AS heading_deg', 'AS clean_heading')},
     CASE WHEN event_id % 40 = 7 THEN '' ELSE {_id('EV-', 'event_id', 7)} END AS event_id,
-    CASE event_id % 50 WHEN 0 THEN 'bad' WHEN 1 THEN 'NULL' WHEN 2 THEN '' WHEN 3 THEN 'null'
+    CASE event_id % 70 WHEN 11 THEN {_id('RT-', f'({_VEHICLE} + (event_id % 3) * 9) % 27 + 1', 4)} || '-99999999999999999999'
+         WHEN 12 THEN 'RT-"7" a, b' ELSE {_id('RT-', f'({_VEHICLE} + (event_id % 3) * 9) % 27 + 1', 4)} END AS route_id,
+    CASE event_id % 50 WHEN 0 THEN 'bad' WHEN 1 THEN 'NULL' WHEN 2 THEN '' WHEN 3 THEN 'null' WHEN 4 THEN '1e15'
+         WHEN 5 THEN 'NaN' WHEN 6 THEN '-Infinity' WHEN 7 THEN '1e300'
          ELSE CAST(event_id % 80 AS VARCHAR) || '.5' END AS speed_mph,
-    CASE WHEN event_id % 60 = 5 THEN '12.x' ELSE CAST(event_id % 360 AS VARCHAR) END AS heading_deg
+    CASE WHEN event_id % 60 = 5 THEN '12.x' ELSE CAST(event_id % 360 AS VARCHAR) END AS heading_deg,
+    event_id % 70 IN (9, 10) AS malformed
   FROM events),
 parsed AS (
   SELECT *,
-    CASE WHEN event_id IN ('', 'NULL', 'null') THEN 'missing event_id'
-         WHEN speed_mph NOT IN ('', 'NULL', 'null') AND try_cast(speed_mph AS DOUBLE) IS NULL
-           THEN 'bad speed_mph'
+    CASE WHEN malformed THEN 'malformed line'
+         WHEN event_id IN ('', 'NULL', 'null') THEN 'missing event_id'
+         WHEN length(route_id) > 20 THEN 'too long route_id'
+         WHEN speed_mph NOT IN ('', 'NULL', 'null')
+           AND NOT coalesce(isfinite(try_cast(speed_mph AS DOUBLE)), false) THEN 'bad speed_mph'
+         WHEN abs(try_cast(speed_mph AS DOUBLE)) > 1e7 THEN 'out of bounds speed_mph'
          WHEN heading_deg NOT IN ('', 'NULL', 'null') AND try_cast(heading_deg AS INTEGER) IS NULL
            THEN 'bad heading_deg' END AS reason
   FROM landed)
@@ -311,6 +318,18 @@ SELECTS: dict[str, str] = {
         SELECT vehicle_id, make, model, vehicle_class, status, last_service_date,
           days_since_service, total_cost_ytd, maintenance_urgency
         FROM health WHERE vehicle_class IN ({_CLASSES})""",
+    "dash_selected_classes": """
+        SELECT vehicle_id, make, model, vehicle_class, status, last_service_date,
+          days_since_service, total_cost_ytd, maintenance_urgency
+        FROM health WHERE vehicle_class IN ('light', 'heavy')""",
+    "dash_selected_routes": f"""
+        SELECT segment_date, route_id, zone, avg_speed, avg_idle_pct, total_miles,
+          vehicles_on_route, efficiency_score
+        FROM efficiency WHERE {_IN_WINDOW} AND route_id IN ('RT-0002', 'RT-0026', 'RT-0005')""",
+    "metric_where": f"""
+        SELECT zone, {_mean('avg_speed')} AS avg_speed, CAST(sum(vehicles_on_route) AS BIGINT) AS vehicles_on_route
+        FROM efficiency WHERE zone IN ('ASIA', 'EUROPE') AND segment_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+        GROUP BY zone""",
     "dash_kpis": f"""
         SELECT
           (SELECT count(DISTINCT route_id) FROM efficiency WHERE {_IN_WINDOW}) AS active_routes,
@@ -363,7 +382,8 @@ SELECTS: dict[str, str] = {
           CAST(heading_deg AS INTEGER) AS heading_deg, event_ts, event_date
         FROM parsed WHERE reason IS NULL""",
     "ingest_csv_rejects": """
-        SELECT event_id, speed_mph, heading_deg, CAST(event_ts AS VARCHAR) AS event_ts, reason
+        SELECT nullif(event_id, '') AS event_id, nullif(speed_mph, '') AS speed_mph, heading_deg,
+          CAST(event_ts AS VARCHAR) AS event_ts, reason
         FROM parsed WHERE reason IS NOT NULL""",
     "ingest_load_summary": """
         SELECT 'gps_events' AS table_name,
@@ -374,5 +394,33 @@ SELECTS: dict[str, str] = {
 }
 
 
+def _spoilt(table: str, key: str, rules: dict[str, list[tuple[int, str]]]) -> str:
+    """A raw table with values replaced where the number of its id is a multiple; the first rule counts."""
+    changed = []
+    for column, cases in rules.items():
+        whens = " ".join(f"WHEN CAST(substr({key}, 4) AS BIGINT) % {every} = 0 THEN {bad}" for every, bad in cases)
+        changed.append(f'CASE {whens} ELSE "{column}" END AS "{column}"')
+    return f"raw_{table} AS (SELECT * REPLACE ({', '.join(changed)}) FROM clean_{table})"
+
+
+_DIRTY = [
+    _spoilt("routes", "route_id", {"route_id": [(12, "'RT-0001'")], "zone": [(7, "NULL")], "total_stops": [(5, "0")]}),
+    _spoilt("vehicles", "vehicle_id", {"vehicle_id": [(97, "'VH-000001'")], "vehicle_class": [(11, "'tank'")],
+                                       "status": [(13, "NULL")], "year": [(17, "2009")]}),
+    _spoilt("gps_events", "event_id", {"event_id": [(101, "NULL"), (103, "'EV-0000001'")], "vehicle_id": [(89, "NULL")],
+                                       "route_id": [(83, "NULL")], "speed_mph": [(79, "NULL"), (73, "150.0e0")]}),
+    _spoilt("maintenance_logs", "log_id", {"log_id": [(29, "NULL"), (37, "'ML-000001'")], "vehicle_id": [(31, "NULL")],
+                                           "cost_usd": [(19, "-cost_usd"), (23, "NULL")]}),
+]
+
+
+def _dirty_ctes() -> str:
+    """The same chain over spoilt raw tables: the clean ones step back under another name."""
+    clean, rest = CTES.split("stg_gps AS (", 1)
+    for table in ("routes", "vehicles", "gps_events", "maintenance_logs"):
+        clean = clean.replace(f"raw_{table} AS (", f"clean_{table} AS (")
+    return clean + ",\n".join(_DIRTY) + ",\nstg_gps AS (" + rest
+
+
 def statements() -> dict[str, str]:
-    return {name: f"WITH {CTES}\n{select}" for name, select in SELECTS.items()}
+    return {name: f"WITH {_dirty_ctes() if name.startswith('dq_') else CTES}\n{select}" for name, select in SELECTS.items()}

@@ -119,6 +119,8 @@ def metric_query(marts: Mapping[str, DataFrame], table: str, dimensions: list[st
         _known("measure", name, spec.measures)
     df = marts[table]
     for name, values in (where or {}).items():
+        if isinstance(values, str):
+            raise UnknownMetric(f"the values of {name} must be a list or a (low, high) pair, not {values!r}")
         if isinstance(values, tuple):
             low, high = values
             df = df.where(F.col(name) >= F.lit(low)) if low is not None else df

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from roadbook.functions.exact import long_total, ratio, units
 from roadbook.functions.fleet import elapsed_seconds, haversine_miles, idle_flag
 from roadbook.operators.previous import with_previous
-from roadbook.settings import MAX_GROUP_ROWS
 
 MILE_DECIMALS = 9  # a distance is summed in 10**-9 miles
 
 TRIP_KEYS = ["vehicle_id", "route_id", "event_date"]
-TRIP_ORDER = ["event_ts", "event_id"]  # the id settles equal timestamps
+# the id settles equal timestamps, the position equal ids of two batches
+TRIP_ORDER = ["event_ts", "event_id", "lat", "lon"]
 
 
-def lag_features(gps: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def lag_features(gps: DataFrame) -> DataFrame:
     """Each ping with the position and time of the one before it that day."""
+    hour = F.date_trunc("hour", F.col("event_ts"))
     return with_previous(gps, TRIP_KEYS, TRIP_ORDER, ["lat", "lon", "event_ts"],
-                         max_group_rows).withColumnRenamed("prev_event_ts", "prev_ts")
+                         hour).withColumnRenamed("prev_event_ts", "prev_ts")
 
 
 def segment_distance() -> Column:
@@ -49,9 +50,8 @@ def with_route(pings: DataFrame, routes: DataFrame) -> DataFrame:
     return pings.join(attributes, "route_id", "left")
 
 
-def int_route_segments(gps: DataFrame, routes: DataFrame,
-                       max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    segments = with_segments(lag_features(gps, max_group_rows))
+def int_route_segments(gps: DataFrame, routes: DataFrame) -> DataFrame:
+    segments = with_segments(lag_features(gps))
     return with_route(segments, routes).select(
         "event_id", "vehicle_id", "route_id", "route_name", "zone", "district",
         "lat", "lon", "speed_mph", "heading_deg", "event_ts", "event_date",

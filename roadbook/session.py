@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: object) -> SparkSession:
@@ -31,26 +28,14 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, where cut lineages are stored.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would be lost with its executor.
+    A session of one machine (``local`` and ``local[n]``, as in tests) may do
+    without the setting and gets a folder beside its warehouse; any other is refused.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="roadbook-checkpoint-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it once as a table in the shared folder.
-
-    Like a checkpoint it survives lost executors; being Parquet, it is small and
-    a reader takes only the columns it needs. Its life is that folder's.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -19,8 +19,6 @@ TOP_K = 10
 DASHBOARD_DAYS = 30
 DEFAULT_ROUTE_COUNT = 5
 
-# A (vehicle, route, day) with more pings than this is sorted by several tasks.
-MAX_GROUP_ROWS = 1_000_000
-# Sorting the large groups uses at most this many tasks; more would cost the
-# shuffle more in bookkeeping than it gains, slices just grow instead.
-MAX_SLICES = 20_000
+# The largest magnitude a landed double may have; a row beyond it is rejected. Sums of
+# 10**7 such values stay exact even in a bigint; no speed, cost or coordinate comes near.
+LARGEST_DOUBLE = 1.0e7

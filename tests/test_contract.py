@@ -39,3 +39,25 @@ def test_results_do_not_depend_on_the_session_zone(spark, con):
             assert difference(QUERIES[name](spark, TINY), con, SQL[name]) is None, name
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_quality_keys_have_failing_and_passing_rows_of_every_kind(con):
+    rows = con.execute(SQL["dq_report"]).fetchall()
+    for kind in ("not_null", "unique", "accepted_values", "range", "positive"):
+        assert {bool(r[4]) for r in rows if r[1] == kind} == {True, False}, kind
+    for layer in ("raw", "silver"):
+        assert any(r[0].startswith(layer) and not r[4] for r in rows), layer
+
+
+def test_every_reject_reason_is_met(con):
+    reasons = {r[0] for r in con.execute(f"SELECT DISTINCT reason FROM ({SQL['ingest_csv_rejects']})").fetchall()}
+    assert reasons == {"malformed line", "missing event_id", "too long route_id", "bad speed_mph",
+                       "out of bounds speed_mph", "bad heading_deg"}
+
+
+def test_building_a_query_starts_no_job(spark):
+    context = spark.sparkContext
+    for name, build in QUERIES.items():
+        context.setJobGroup(f"build-{name}", name)
+        build(spark, TINY)
+        assert not context.statusTracker().getJobIdsForGroup(f"build-{name}"), name

@@ -1,24 +1,29 @@
-"""The sliced lag must equal the plain definition, whatever the skew."""
+"""The bucketed lag must equal the plain definition, whatever the skew."""
 
 from __future__ import annotations
 
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadbook.operators.previous import with_previous
 
 SCHEMA = "k string, g string, t int, id string, a double, b double"
 
 
+def lagged(df, width: int):
+    return with_previous(df, ["k", "g"], ["t", "id", "a", "b"], ["a", "b"], F.floor(F.col("t") / width))
+
+
 def brute_force(rows):
-    """Previous (a, b) by (t, id), NULL times last, within (k, g)."""
+    """Previous (a, b) by all of t, id, a, b, NULLs last, within (k, g)."""
     groups: dict = {}
     for r in rows:
         groups.setdefault((r[0], r[1]), []).append(r)
     out = []
     for members in groups.values():
-        members.sort(key=lambda r: (r[2] is None, r[2] or 0, r[3]))
+        members.sort(key=lambda r: tuple((v is None, v or 0) if i != 1 else (False, v) for i, v in enumerate(r[2:])))
         for before, r in zip([None, *members], members):
             out.append((*r, before[4] if before else None, before[5] if before else None))
     return out
@@ -31,7 +36,7 @@ def skewed_rows(seed: int, n: int = 600):
         hot = rng.random() < 0.4
         key = "hot" if hot else rng.choice(["x", "y", "z", None])
         rows.append((key, "g" if hot else rng.choice(["g", "h", None]),
-                     rng.choice([None, *range(40)]), f"{i:05d}",
+                     rng.choice([None, *range(40)]), f"{i // 3:05d}",
                      rng.choice([None, rng.random()]), float(i)))
     rng.shuffle(rows)
     return rows
@@ -41,40 +46,34 @@ def order(rows):
     return sorted(rows, key=lambda r: tuple((v is None, 0 if v is None else v) for v in r))
 
 
-@pytest.mark.parametrize("limit", [10_000, 200, 50, 7])
-def test_matches_brute_force(spark, limit):
-    rows = skewed_rows(limit)
-    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    got = with_previous(df, ["k", "g"], ["t", "id"], ["a", "b"], max_group_rows=limit)
+@pytest.mark.parametrize("width", [1, 3, 17, 1000])
+def test_matches_brute_force(spark, width):
+    rows = skewed_rows(width)
+    got = lagged(spark.createDataFrame(rows, SCHEMA).repartition(5), width)
     assert got.columns == ["k", "g", "t", "id", "a", "b", "prev_a", "prev_b"]
     assert order(map(tuple, got.collect())) == order(brute_force(rows))
 
 
-def test_copies_of_one_row_are_cut_apart(spark):
-    """A group that is one row repeated: all but the first see themselves."""
-    rows = [("k", "g", 1, "same", 2.0, 3.0)] * 500 + [("k", "g", 0, "first", 9.0, 9.0)]
-    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    got = with_previous(df, ["k", "g"], ["t", "id"], ["a", "b"], max_group_rows=50)
-    counts = {}
-    for r in got.collect():
-        counts[(r.id, r.prev_a, r.prev_b)] = counts.get((r.id, r.prev_a, r.prev_b), 0) + 1
-    assert counts == {("first", None, None): 1, ("same", 9.0, 9.0): 1, ("same", 2.0, 3.0): 499}
+def test_ties_do_not_depend_on_the_files(spark):
+    """Two files with pings of equal time and id: the order of the files changes nothing."""
+    one, two = [("v", "r", 5, "e", 1.0, 2.0), ("v", "r", 5, "e", 3.0, 4.0)], [("v", "r", 5, "e", 2.0, 9.0), ("v", "r", 6, "f", 0.0, 0.0)]
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (one, two)]
+    there, back = (order(map(tuple, lagged(a.union(b), 2).collect())) for a, b in (frames, frames[::-1]))
+    assert there == back == order(brute_force(one + two))
 
 
-def test_no_slice_holds_a_hot_group(spark):
-    """The cuts really bound the work of one task."""
-    from pyspark.sql import functions as F
-    n, limit = 4000, 100
-    df = spark.range(n).select(F.lit("k").alias("k"), F.lit("g").alias("g"),
-                               F.lit(1).alias("t"), F.col("id").cast("string").alias("id"),
-                               F.col("id").cast("double").alias("a"))
-    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
-    sizes = (numbered.repartitionByRange(2 * n // limit, "k", "g", "t", "id", "_tie")
-             .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
-    assert sizes < 4 * limit
+def test_equal_rows_and_no_rows(spark):
+    df = spark.createDataFrame([("v", "r", 1, "e", 1.0, 1.0)] * 50, SCHEMA)
+    assert sorted(r.prev_a is None for r in lagged(df, 1).collect()) == [False] * 49 + [True]
+    assert lagged(df.limit(0), 1).count() == 0
 
 
-def test_plain_window_shuffles_once(spark):
+def test_building_starts_no_job(spark):
+    """No count decides between plans, and the first window is dealt by key and bucket."""
     df = spark.createDataFrame(skewed_rows(1), SCHEMA)
-    plan = with_previous(df, ["k", "g"], ["t", "id"], ["a", "b"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("Window [") == 1
+    context = spark.sparkContext
+    context.setJobGroup("lag", "building")
+    plan = lagged(df, 1)
+    assert not context.statusTracker().getJobIdsForGroup("lag")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number()" in text and "_bucket" in text.split("hashpartitioning(")[-1].split(")")[0]
