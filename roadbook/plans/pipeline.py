@@ -58,89 +58,145 @@ def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 Days = list[date | None]  # None stands for pings without a date
 
+# Days whose silver and gold rows may differ from raw: kept until a run has published them.
+PENDING = "state.pending_days"
 
-def dates_of_batch(warehouse: Warehouse, batch_date: str) -> Days:
-    """The event dates a batch has pings for: calendar days, so a short list."""
-    pings = raw_table(warehouse, "gps_events").where(F.col(BATCH) == F.lit(batch_date).cast("date"))
+
+def _days(pings: DataFrame) -> Days:
+    """The event dates of pings: each is a folder of the stored tables, which the driver lists anyway."""
     return [r.event_date for r in pings.select("event_date").distinct().collect()]
 
 
-def _on(df: DataFrame, day: Column, days: Days | None) -> DataFrame:
-    """Literal days prune the partitions of the scan."""
-    if days is None:
-        return df
-    wanted = day.isin([d for d in days if d is not None])
-    return df.where(wanted | day.isNull() if None in days else wanted)
+def days_of_batch(warehouse: Warehouse, batch_date: str) -> Days:
+    if not warehouse.exists("raw.gps_events"):
+        return []
+    return _days(raw_table(warehouse, "gps_events").where(F.col(BATCH) == F.lit(batch_date).cast("date")))
 
 
-def build(warehouse: Warehouse, as_of: date, dates: Days | None = None,
-          latest_dimensions: bool = False) -> None:
-    """Silver and gold for the given event dates, or for all of them."""
-    stg = staged(raw_tables(warehouse, latest_dimensions))
-    if dates is None or dates:
-        gps = _on(stg["stg_gps_events"], F.col("event_date"), dates)
-        # written once, read by both roll-ups
-        segments = _on(
-            warehouse.replace_partitions(silver.int_route_segments(gps, stg["stg_routes"]),
-                                         "silver.int_route_segments", "event_date"),
-            F.col("event_date"), dates)
-        warehouse.replace_partitions(gold.mart_route_efficiency(segments),
-                                     "gold.mart_route_efficiency", "segment_date")
-        months = None if dates is None else list({d and d.replace(day=1) for d in dates})
-        daily = _on(
-            warehouse.replace_partitions(silver.int_vehicle_daily_stats(segments),
-                                         "silver.int_vehicle_daily_stats", "event_date"),
-            F.trunc("event_date", "MM"), months)
-        warehouse.replace_partitions(gold.mart_driver_performance(daily, stg["stg_vehicles"]),
-                                     "gold.mart_driver_performance", "month")
-    warehouse.replace(gold.mart_fleet_health(stg["stg_vehicles"], stg["stg_maintenance"], as_of),
-                      "gold.mart_fleet_health")
+def _remember(warehouse: Warehouse, days: Days) -> Days:
+    """Add days to the pending ones, on disk, before anything changes that they depend on."""
+    before = _days(warehouse.read(PENDING)) if warehouse.exists(PENDING) else []
+    days = list(dict.fromkeys([*before, *days]))
+    _set_pending(warehouse, days)
+    return days
 
 
-MARTS = ("mart_route_efficiency", "mart_fleet_health", "mart_driver_performance")
+def _set_pending(warehouse: Warehouse, days: Days) -> None:
+    made = warehouse.run_folder()
+    made.write(warehouse.spark.createDataFrame([(d,) for d in days], "event_date date"), PENDING)
+    warehouse.publish(made, PENDING)
+    made.remove()
 
 
-def marts(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name: warehouse.read(f"gold.{name}") for name in MARTS}
+def _among(day: Column, days: Days) -> Column:
+    """Literal days prune the partitions of the scan."""
+    wanted = day.isin([d for d in days if d is not None])
+    return F.coalesce(wanted | day.isNull() if None in days else wanted, F.lit(False))
 
 
-# the day column by which a check can be limited to what a run touched
-DAY_COLUMNS = {
-    "raw.gps_events": "event_date",
-    "silver.stg_gps_events": "event_date",
+# silver and gold tables, each with the column that it is stored by and rebuilt by
+PARTS = {
     "silver.int_route_segments": "event_date",
     "silver.int_vehicle_daily_stats": "event_date",
     "gold.mart_route_efficiency": "segment_date",
+    "gold.mart_driver_performance": "month",
+    "gold.mart_fleet_health": None,
 }
 
 
-def checked_tables(warehouse: Warehouse, latest_dimensions: bool = False,
-                   dates: Days | None = None) -> dict[str, DataFrame]:
-    """Every table with its checks' name; the daily ones cut to ``dates`` if given."""
+def _months(days: Days) -> Days:
+    return list(dict.fromkeys(d and d.replace(day=1) for d in days))
+
+
+def _merged(warehouse: Warehouse, made: DataFrame, name: str, values: Days | None) -> DataFrame:
+    """A table as it will be once ``made`` is published."""
+    column = PARTS[name]
+    if values is None or column is None or not warehouse.exists(name):
+        return made
+    published = warehouse.spark.read.schema(made.schema).parquet(warehouse.path(name))
+    return published.where(~_among(F.col(column), values)).unionByName(made)
+
+
+def build(warehouse: Warehouse, made: Warehouse, as_of: date, days: Days | None = None,
+          latest_dimensions: bool = False) -> dict[str, DataFrame]:
+    """Silver and gold for the given days, or for all, in a run's folder.
+
+    Returns the tables as they will be published: the run's rows with the rest.
+    """
+    stg = staged(raw_tables(warehouse, latest_dimensions))
+    gps = stg["stg_gps_events"]
+    months = None if days is None else _months(days)
+    values = {n: months if c == "month" else days for n, c in PARTS.items()}
+    out: dict[str, DataFrame] = {}
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        written = made.write(df, name, *filter(None, [PARTS[name]]))
+        out[name] = _merged(warehouse, written, name, values[name])
+        return written
+
+    # written once, read by both roll-ups
+    segments = put("silver.int_route_segments", silver.int_route_segments(
+        gps if days is None else gps.where(_among(F.col("event_date"), days)), stg["stg_routes"]))
+    put("gold.mart_route_efficiency", gold.mart_route_efficiency(segments))
+    put("silver.int_vehicle_daily_stats", silver.int_vehicle_daily_stats(segments))
+    daily = out["silver.int_vehicle_daily_stats"]
+    if months is not None:
+        daily = daily.where(_among(F.trunc("event_date", "MM"), months))
+    put("gold.mart_driver_performance", gold.mart_driver_performance(daily, stg["stg_vehicles"]))
+    put("gold.mart_fleet_health", gold.mart_fleet_health(stg["stg_vehicles"], stg["stg_maintenance"], as_of))
+    return out
+
+
+MARTS = ("mart_route_efficiency", "mart_fleet_health", "mart_driver_performance")
+
+
+def marts(warehouse: Warehouse) -> dict[str, DataFrame]:
+    return {name: warehouse.read(f"gold.{name}") for name in MARTS}
+
+
+def checked_inputs(warehouse: Warehouse, latest_dimensions: bool = False) -> dict[str, DataFrame]:
+    """Raw and staged tables with their checks' names."""
     raw = raw_tables(warehouse, latest_dimensions)
-    tables = {f"raw.{t}": df for t, df in raw.items()}
-    tables |= {f"silver.{n}": df for n, df in staged(raw).items()}
-    for name in ("int_route_segments", "int_vehicle_daily_stats"):
-        tables[f"silver.{name}"] = warehouse.read(f"silver.{name}")
-    tables |= {f"gold.{n}": df for n, df in marts(warehouse).items()}
-    return {n: _on(df, F.col(DAY_COLUMNS[n]), dates) if n in DAY_COLUMNS else df for n, df in tables.items()}
+    return {f"raw.{t}": df for t, df in raw.items()} | {f"silver.{n}": df for n, df in staged(raw).items()}
+
+
+def rebuild(warehouse: Warehouse, as_of: date, days: Days | None = None, latest_dimensions: bool = False,
+            check: bool = True) -> list:
+    """Make silver and gold in a run's folder, check them there, and only then publish them."""
+    if not warehouse.exists("silver.int_route_segments"):
+        days = None
+    made = warehouse.run_folder()
+    try:
+        tables = build(warehouse, made, as_of, days, latest_dimensions)
+        checks = quality.gate(quality.report(tables)) if check else []
+        for name, column in PARTS.items():
+            values = None if days is None or column is None else _months(days) if column == "month" else days
+            warehouse.publish(made, name, column, values)
+        _set_pending(warehouse, [])
+    finally:
+        made.remove()
+    return checks
 
 
 def run(spark: SparkSession, landing: str, root: str, batch_date: str, as_of: date,
         tables: Iterable[str] | None = None, full_refresh: bool = False,
-        latest_dimensions: bool = False, check_all: bool = True) -> RunResult:
-    """Check that the batch has landed, load it, rebuild what it touches, gate on quality.
+        latest_dimensions: bool = False) -> RunResult:
+    """Check that the batch has landed, load it, check it, rebuild what it touches, check that, publish.
 
-    Pass ``full_refresh`` when route attributes changed: stored dates keep the
-    attributes they were built with. ``check_all=False`` checks the daily tables
-    on the rebuilt dates only, so that the gate costs what the batch costs.
+    Raw always holds the batch as it landed. Silver and gold change only when all
+    checks have passed, on whole tables; a run that fails leaves them as they were
+    and its days to the next run. Pass ``full_refresh`` when attributes of routes
+    or vehicles changed: stored days and months keep those they were built with.
     """
     warehouse = Warehouse(spark, root)
-    require_landed(spark, landing, batch_date, [t for t in tables or TABLES if t in TABLES])
+    known = [t for t in tables or TABLES if t in TABLES]
+    require_landed(spark, landing, batch_date, known)
+    _remember(warehouse, days_of_batch(warehouse, batch_date))
     loads = load_all(spark, landing, warehouse, tables, batch_date)
-    dates = None if full_refresh else dates_of_batch(warehouse, batch_date)
-    build(warehouse, as_of, dates, latest_dimensions)
-    checked = checked_tables(warehouse, latest_dimensions, None if check_all else dates)
-    checks = quality.gate(quality.report(checked))
+    days = _remember(warehouse, days_of_batch(warehouse, batch_date))
+    checks = quality.gate(quality.report(checked_inputs(warehouse, latest_dimensions)))
+
+    checks += rebuild(warehouse, as_of, None if full_refresh else days, latest_dimensions)
+    wanted = None if full_refresh else days
     log.info("batch %s: %d checks passed", batch_date, len(checks))
-    return RunResult(loads, dates, checks)
+    return RunResult(loads, wanted, checks)

@@ -6,12 +6,14 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadbook.schemas import TABLES
 
 CORRUPT = "_bad"
 
 
+# Fixed format: where the producers put their files.
 def landing_key(table: str, batch_date: str, filename: str) -> str:
     return f"raw/{table}/date={batch_date}/{filename}"
 
@@ -50,17 +52,18 @@ def has_files(spark: SparkSession, pattern: str) -> bool:
     return True
 
 
-def missing_tables(spark: SparkSession, root: str, batch_date: str,
+def missing_tables(spark: SparkSession, root: str, batch_date: str | None,
                    tables: Iterable[str] = tuple(TABLES)) -> list[str]:
-    return [t for t in tables
-            if not has_files(spark, landing_folder(root, t, batch_date) + "/*.csv*")]
+    """Tables without a landed file, of one date or of any."""
+    day = batch_date or "*"
+    return [t for t in tables if not has_files(spark, landing_folder(root, t, day) + "/*.csv*")]
 
 
-def require_landed(spark: SparkSession, root: str, batch_date: str,
+def require_landed(spark: SparkSession, root: str, batch_date: str | None,
                    tables: Iterable[str] = tuple(TABLES)) -> None:
     missing = missing_tables(spark, root, batch_date, tables)
     if missing:
-        raise FileNotFoundError(f"no landed files for {missing} on {batch_date} under {root}")
+        raise FileNotFoundError(f"no landed files for {missing} on {batch_date or 'any date'} under {root}")
 
 
 def read_landed(spark: SparkSession, root: str, table: str,
@@ -69,3 +72,18 @@ def read_landed(spark: SparkSession, root: str, table: str,
     reader = spark.read.schema(TABLES[table].string_schema(CORRUPT)).options(**csv_options(table))
     reader = reader.option("basePath", landing_folder(root, table))
     return reader.csv(landing_folder(root, table, batch_date))
+
+
+def read_lines(lines: DataFrame, table: str) -> DataFrame:
+    """A column ``line`` of a table's file lines, read as the file would be; for text that comes by other ways."""
+    options = {k: v for k, v in csv_options(table).items() if k not in ("header", "enforceSchema", "columnPruning", "multiLine")}
+    schema = TABLES[table].string_schema(CORRUPT)
+    row = F.from_csv("line", schema.toDDL(), options)
+    # inline makes the row a value, as in a file, not an expression each use repeats
+    return lines.select(F.inline(F.array(row)))
+
+
+def landed_dates(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The dates that have a landed file, also an empty one; files are listed, not read."""
+    files = spark.read.format("binaryFile").load(landing_folder(root, table))
+    return [str(r.date) for r in files.select("date").distinct().collect()] if "date" in files.columns else []

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from roadbook.operators.rejects import REASON, parse
 from roadbook.schemas import TABLES
-from roadbook.sources.landing import read_landed
+from roadbook.sources.landing import landed_dates, read_landed, require_landed
 from roadbook.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -60,34 +60,32 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
                batch_date: str | None = None) -> LoadResult:
     """Load one landed date, or every landed date, in a single pass over the files.
 
-    A load replaces what the same date loaded before, so running it twice
-    changes nothing and a run that died half way is simply run again.
+    Each loaded date replaces the whole of what the same date loaded before; dates
+    that are no longer landed keep what they have. Running it twice changes
+    nothing, and a run that died half way is simply run again.
     """
-    rows = storable(read_landed(spark, landing, table, batch_date), table)
-    folder, columns = warehouse.path(f"raw.{table}"), partition_columns(table)
-    if batch_date:
-        folder, columns, rows = f"{folder}/{BATCH}={batch_date}", columns[1:], rows.drop(BATCH)
-    warehouse.replace_folder(rows, folder, *columns)
-
+    made, name = warehouse.run_folder(), f"raw.{table}"
+    stored = made.write(storable(read_landed(spark, landing, table, batch_date), table),
+                        name, *partition_columns(table))
     # counted from what was stored: partition values only, no column is read
-    stored = spark.read.schema(f"{STATUS} string").parquet(folder)
-    counts = {r[STATUS]: r["count"] for r in stored.groupBy(STATUS).count().collect()}
-    result = LoadResult(table, counts.get("loaded", 0), counts.get("rejected", 0))
-    log.info("%s: %d loaded, %d errors [%s]", table, result.rows_loaded,
-             result.rows_errored, result.status)
-    return result
+    counted = stored.groupBy(BATCH, STATUS).count().collect()
+    loaded = [batch_date] if batch_date else landed_dates(spark, landing, table)
+    warehouse.publish(made, name, BATCH, loaded)
+    made.remove()
+    total = lambda status: sum(r["count"] for r in counted if r[STATUS] == status)
+    return LoadResult(table, total("loaded"), total("rejected"))
 
 
 def load_all(spark: SparkSession, landing: str, warehouse: Warehouse,
              tables: Iterable[str] | None = None,
              batch_date: str | None = None) -> list[LoadResult]:
-    results = []
-    for table in tables or TABLES:
-        if table not in TABLES:
-            log.warning("unknown table %r, skipping", table)
-            continue
-        results.append(load_table(spark, landing, warehouse, table, batch_date))
-    return results
+    """Load the wanted tables; names that are unknown or have not landed are told before any is loaded."""
+    wanted = list(TABLES if tables is None else tables)
+    known = [t for t in wanted if t in TABLES]
+    if strange := sorted(set(wanted) - set(known)):
+        log.warning("left out, not among the declared tables: %s", ", ".join(strange))
+    require_landed(spark, landing, batch_date, known)
+    return [load_table(spark, landing, warehouse, t, batch_date) for t in known]
 
 
 def _stored(warehouse: Warehouse, table: str, status: str) -> DataFrame:

@@ -11,6 +11,7 @@ from conftest import TINY
 from roadbook import fixtures
 from roadbook.checks.quality import QualityGateFailed
 from roadbook.plans import pipeline
+from roadbook.schemas import TABLES as TABLES_
 from roadbook.sources.landing import landing_folder
 from roadbook.sources.warehouse import Warehouse
 
@@ -57,13 +58,12 @@ def test_daily_runs_equal_a_full_rebuild(spark, landing, tmp_path):
 
     full = Warehouse(spark, str(tmp_path / "full"))
     pipeline.load_all(spark, landing, full)
-    pipeline.build(full, AS_OF, latest_dimensions=True)
+    pipeline.rebuild(full, AS_OF, latest_dimensions=True)
     for name in TABLES:
         assert contents(daily, name) == contents(full, name), name
 
     before = {name: contents(daily, name) for name in TABLES}
-    again = pipeline.run(spark, landing, daily.root, "2024-01-30", AS_OF, latest_dimensions=True,
-                         check_all=False)
+    again = pipeline.run(spark, landing, daily.root, "2024-01-30", AS_OF, latest_dimensions=True)
     assert len(again.checks) == 74 + 9
     assert {name: contents(daily, name) for name in TABLES} == before
 
@@ -79,8 +79,12 @@ def test_repeated_dimensions_fail_the_gate(spark, landing, tmp_path):
     """Appended loads repeat keys; by default that is reported, not repaired."""
     root = str(tmp_path / "wh")
     pipeline.run(spark, landing, root, "2024-01-15", AS_OF)
+    before = {name: contents(Warehouse(spark, root), name) for name in TABLES}
     with pytest.raises(QualityGateFailed, match="raw.routes.route_id unique: 25"):
         pipeline.run(spark, landing, root, "2024-01-30", AS_OF)
+    # what is published stays as it was, and the days are not forgotten
+    assert {name: contents(Warehouse(spark, root), name) for name in TABLES} == before
+    assert Warehouse(spark, root).read(pipeline.PENDING).count() > 0
 
 
 def test_undated_pings_are_rebuilt_too(spark, landing, tmp_path):
@@ -91,9 +95,10 @@ def test_undated_pings_are_rebuilt_too(spark, landing, tmp_path):
     land_frame(undated, tmp_path, "gps_events", "2024-02-01")
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     pipeline.load_all(spark, str(tmp_path), warehouse)
-    dates = pipeline.dates_of_batch(warehouse, "2024-02-01")
+    dates = pipeline.days_of_batch(warehouse, "2024-02-01")
     assert None in dates and len(dates) > 1
-    pipeline.build(warehouse, AS_OF, dates)
+    pipeline.rebuild(warehouse, AS_OF, dates, check=False)
+    pipeline.rebuild(warehouse, AS_OF, dates, check=False)  # now over published tables
     in_box = pipeline.staged(pipeline.raw_tables(warehouse))["stg_gps_events"].count()
     assert warehouse.read("silver.int_route_segments").count() == in_box > 0
     assert warehouse.read("gold.mart_driver_performance").where("month IS NULL").count() > 0
@@ -102,3 +107,65 @@ def test_undated_pings_are_rebuilt_too(spark, landing, tmp_path):
 def test_nothing_runs_without_the_files(spark, landing, tmp_path):
     with pytest.raises(FileNotFoundError):
         pipeline.run(spark, landing, str(tmp_path / "wh"), "2024-02-01", AS_OF)
+
+
+HEADS = {t: ",".join(TABLES_[t].names) for t in ("routes", "vehicles", "stops", "gps_events", "maintenance_logs")}
+REST = {"routes": "R,n,z,d,3,2024-01-01T00:00:00", "vehicles": "V,m,x,2020,light,active,vin,tx",
+        "stops": "S,R,n,1,29.7,-95.4,depot", "maintenance_logs": "L,V,oil,2024-01-02,{cost},5000,T,x"}
+
+
+def land_lines(root, batch, pings, cost="10.5"):
+    for table in HEADS:
+        path = root / "raw" / table / f"date={batch}" / "f.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        lines = pings if table == "gps_events" else [REST[table].format(cost=cost)]
+        path.write_text("\n".join([HEADS[table], *lines]) + "\n")
+
+
+def line(i, day, lat=29.7, speed=30):
+    return f"E{i},V,R,{lat},-95.4,{speed},3,{day}T08:0{i}:00,{day}"
+
+
+def published(spark, root):
+    warehouse = Warehouse(spark, str(root))
+    return {name: contents(warehouse, name) for name in TABLES}
+
+
+CORRECTIONS = {
+    "a batch that shrinks": [line(1, "2024-01-15")],
+    "a ping that leaves the box": [line(0, "2024-01-14", lat=11.0), line(1, "2024-01-15")],
+    "a month that becomes empty": [line(1, "2024-02-01")],
+    "a ping that moves to another day": [line(0, "2024-01-16"), line(1, "2024-01-15")],
+}
+
+
+@pytest.mark.parametrize("full_refresh", [False, True])
+@pytest.mark.parametrize("what", CORRECTIONS)
+def test_a_corrected_batch_equals_a_fresh_warehouse(spark, tmp_path, what, full_refresh):
+    land_lines(tmp_path, "2024-01-15", [line(0, "2024-01-14"), line(1, "2024-01-15")])
+    pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF)
+    land_lines(tmp_path, "2024-01-15", CORRECTIONS[what])
+    pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF, full_refresh=full_refresh)
+    pipeline.run(spark, str(tmp_path), str(tmp_path / "fresh"), "2024-01-15", AS_OF)
+    assert published(spark, tmp_path / "wh") == published(spark, tmp_path / "fresh")
+
+
+def test_a_failed_run_in_between_forgets_no_day(spark, tmp_path):
+    for pings in ([line(0, "2024-01-14"), line(1, "2024-01-15")], [line(1, "2024-01-15"), line(1, "2024-01-15")], [line(2, "2024-01-16")]):
+        land_lines(tmp_path, "2024-01-15", pings)
+        if len({*pings}) < len(pings):
+            with pytest.raises(QualityGateFailed, match="event_id unique"):
+                pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF)
+        else:
+            pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF)
+    pipeline.run(spark, str(tmp_path), str(tmp_path / "fresh"), "2024-01-15", AS_OF)
+    assert published(spark, tmp_path / "wh") == published(spark, tmp_path / "fresh")
+
+
+@pytest.mark.parametrize("number", ["1e15", "1e300", "NaN", "-1e15"])
+def test_no_number_stops_a_run(spark, tmp_path, number):
+    pings = [line(0, "2024-01-14"), line(1, "2024-01-15", speed=number), line(2, "2024-01-15", lat=number)]
+    land_lines(tmp_path, "2024-01-15", pings, cost=number)
+    result = pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF)
+    assert {r.table: r.rows_errored for r in result.loads} == {"routes": 0, "vehicles": 0, "stops": 0, "gps_events": 2, "maintenance_logs": 1}
+    assert Warehouse(spark, str(tmp_path / "wh")).read("silver.int_route_segments").count() == 1
