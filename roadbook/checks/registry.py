@@ -74,6 +74,7 @@ CHECKS: dict[str, Checks] = {
 }
 
 # What a consumer may rely on being there.
+# The columns that each landed table must have.
 REQUIRED_COLUMNS: dict[str, list[str]] = {
     "raw.routes": ["route_id", "route_name", "zone", "district", "total_stops", "created_at"],
     "raw.vehicles": ["vehicle_id", "make", "model", "year", "vehicle_class", "status"],

@@ -193,46 +193,104 @@ _CLASSES = "'light', 'medium', 'heavy'"
 _STATUSES = "'active', 'inactive', 'maintenance'"
 _LEVELS = "'low', 'medium', 'high'"
 
+# The declared checks of each table.
 # table -> (CTE, not-null columns, unique columns, [(column, allowed)], [(check, column, failing)])
 _CHECKED = {
-    "raw.routes": ("raw_routes", "route_id zone district", "route_id", [],
-                   [("positive", "total_stops", "total_stops <= 0")]),
-    "raw.vehicles": ("raw_vehicles", "vehicle_id", "vehicle_id",
-                     [("vehicle_class", _CLASSES), ("status", _STATUSES)],
-                     [("range", "year", '"year" NOT BETWEEN 2010 AND 2025')]),
-    "raw.gps_events": ("raw_gps_events", "event_id vehicle_id route_id speed_mph", "event_id", [], []),
-    "raw.maintenance_logs": ("raw_maintenance_logs", "log_id vehicle_id cost_usd", "log_id", [],
-                             [("positive", "cost_usd", "cost_usd <= 0"),
-                              ("positive", "mileage_at_service", "mileage_at_service <= 0")]),
-    "silver.stg_routes": ("raw_routes", "route_id zone district total_stops", "route_id", [], []),
-    "silver.stg_vehicles": ("raw_vehicles", "vehicle_id vehicle_class status", "vehicle_id",
-                            [("vehicle_class", _CLASSES), ("status", _STATUSES)], []),
-    "silver.stg_gps_events": ("stg_gps",
-                              "event_id vehicle_id route_id lat lon speed_mph event_date",
-                              "event_id", [],
-                              [("range", "lat", "lat NOT BETWEEN 29.5e0 AND 30.1e0"),
-                               ("range", "lon", "lon NOT BETWEEN -95.8e0 AND -95.1e0"),
-                               ("range", "speed_mph", "speed_mph NOT BETWEEN 0 AND 120")]),
-    "silver.stg_maintenance": ("raw_maintenance_logs",
-                               "log_id vehicle_id service_type service_date cost_usd",
-                               "log_id", [], []),
-    "silver.int_route_segments": ("segments", "event_id vehicle_id route_id event_date speed_mph "
-                                  "segment_distance_miles", "event_id",
-                                  [("idle_flag", "0, 1")], []),
-    "silver.int_vehicle_daily_stats": ("daily",
-                                       "vehicle_id event_date trips_count total_miles idle_pct",
-                                       "", [], []),
-    "gold.mart_route_efficiency": ("efficiency", "route_id segment_date avg_speed total_miles "
-                                   "avg_idle_pct vehicles_on_route efficiency_score", "", [],
-                                   [("range", "efficiency_score",
-                                     "efficiency_score NOT BETWEEN 0 AND 100")]),
-    "gold.mart_fleet_health": ("health", "vehicle_id vehicle_class maintenance_urgency",
-                               "vehicle_id", [("vehicle_class", _CLASSES),
-                                              ("maintenance_urgency", _LEVELS)], []),
-    "gold.mart_driver_performance": ("performance", "vehicle_id month avg_speed idle_pct "
-                                     "total_miles safety_score", "", [],
-                                     [("range", "safety_score",
-                                       "safety_score NOT BETWEEN 0 AND 100")]),
+    "raw.routes": (
+        "raw_routes",
+        ["route_id", "zone", "district"],
+        ["route_id"],
+        [],
+        [("positive", "total_stops", 'total_stops <= 0')],
+    ),
+    "raw.vehicles": (
+        "raw_vehicles",
+        ["vehicle_id"],
+        ["vehicle_id"],
+        [("vehicle_class", _CLASSES), ("status", _STATUSES)],
+        [("range", "year", '"year" NOT BETWEEN 2010 AND 2025')],
+    ),
+    "raw.gps_events": (
+        "raw_gps_events",
+        ["event_id", "vehicle_id", "route_id", "speed_mph"],
+        ["event_id"],
+        [],
+        [],
+    ),
+    "raw.maintenance_logs": (
+        "raw_maintenance_logs",
+        ["log_id", "vehicle_id", "cost_usd"],
+        ["log_id"],
+        [],
+        [("positive", "cost_usd", 'cost_usd <= 0'),
+         ("positive", "mileage_at_service", 'mileage_at_service <= 0')],
+    ),
+    "silver.stg_routes": (
+        "raw_routes",
+        ["route_id", "zone", "district", "total_stops"],
+        ["route_id"],
+        [],
+        [],
+    ),
+    "silver.stg_vehicles": (
+        "raw_vehicles",
+        ["vehicle_id", "vehicle_class", "status"],
+        ["vehicle_id"],
+        [("vehicle_class", _CLASSES), ("status", _STATUSES)],
+        [],
+    ),
+    "silver.stg_gps_events": (
+        "stg_gps",
+        ["event_id", "vehicle_id", "route_id", "lat", "lon", "speed_mph", "event_date"],
+        ["event_id"],
+        [],
+        [("range", "lat", 'lat NOT BETWEEN 29.5e0 AND 30.1e0'),
+         ("range", "lon", 'lon NOT BETWEEN -95.8e0 AND -95.1e0'),
+         ("range", "speed_mph", 'speed_mph NOT BETWEEN 0 AND 120')],
+    ),
+    "silver.stg_maintenance": (
+        "raw_maintenance_logs",
+        ["log_id", "vehicle_id", "service_type", "service_date", "cost_usd"],
+        ["log_id"],
+        [],
+        [],
+    ),
+    "silver.int_route_segments": (
+        "segments",
+        ["event_id", "vehicle_id", "route_id", "event_date", "speed_mph", "segment_distance_miles"],
+        ["event_id"],
+        [("idle_flag", "0, 1")],
+        [],
+    ),
+    "silver.int_vehicle_daily_stats": (
+        "daily",
+        ["vehicle_id", "event_date", "trips_count", "total_miles", "idle_pct"],
+        [],
+        [],
+        [],
+    ),
+    "gold.mart_route_efficiency": (
+        "efficiency",
+        ["route_id", "segment_date", "avg_speed", "total_miles", "avg_idle_pct", "vehicles_on_route",
+         "efficiency_score"],
+        [],
+        [],
+        [("range", "efficiency_score", 'efficiency_score NOT BETWEEN 0 AND 100')],
+    ),
+    "gold.mart_fleet_health": (
+        "health",
+        ["vehicle_id", "vehicle_class", "maintenance_urgency"],
+        ["vehicle_id"],
+        [("vehicle_class", _CLASSES), ("maintenance_urgency", _LEVELS)],
+        [],
+    ),
+    "gold.mart_driver_performance": (
+        "performance",
+        ["vehicle_id", "month", "avg_speed", "idle_pct", "total_miles", "safety_score"],
+        [],
+        [],
+        [("range", "safety_score", 'safety_score NOT BETWEEN 0 AND 100')],
+    ),
 }
 
 
@@ -245,7 +303,7 @@ def _checks(*kinds: str) -> str:
     parts = []
     for table, (cte, not_null, unique, accepted, ranges) in _CHECKED.items():
         if "not_null" in kinds:
-            parts += [_count_where(table, cte, "not_null", c, f'"{c}" IS NULL') for c in not_null.split()]
+            parts += [_count_where(table, cte, "not_null", c, f'"{c}" IS NULL') for c in not_null]
         if "accepted_values" in kinds:
             parts += [_count_where(table, cte, "accepted_values", c, f"{c} NOT IN ({values})")
                       for c, values in accepted]
@@ -254,7 +312,7 @@ def _checks(*kinds: str) -> str:
         if "unique" in kinds:
             parts += [_count_where(
                 table, f"(SELECT count(*) AS n FROM {cte} WHERE {c} IS NOT NULL GROUP BY {c}) AS g",
-                "unique", c, "n > 1") for c in unique.split()]
+                "unique", c, "n > 1") for c in unique]
     return ("SELECT table_name, check_name, column_name, failing_rows, failing_rows = 0 AS passed "
             "FROM (" + " UNION ALL ".join(parts) + ") AS checks")
 

@@ -93,6 +93,7 @@ def efficiency_rows(efficiency: DataFrame, start: date, end: date,
     ).orderBy(*ascending("segment_date", "route_id"))
 
 
+# The published columns of the view.
 HEALTH_COLUMNS = ["vehicle_id", "make", "model", "vehicle_class", "status", "last_service_date",
                   "days_since_service", "total_cost_ytd", "maintenance_urgency"]
 
