@@ -1,8 +1,8 @@
 """Run the declared checks as aggregations.
 
-All row checks of a table are counted in one pass over it; each uniqueness
-check adds one grouping, aggregated before its shuffle, so copies of one key
-collapse on the map side. Every result row is
+All row checks of a table, and of the staged view of it, are counted in one pass
+over it; each unique column adds one grouping for both, aggregated before its
+shuffle, so copies of one key collapse on the map side. Every result row is
 ``(table_name, check_name, column_name, failing_rows, passed)``.
 """
 
@@ -35,38 +35,51 @@ def _fails_row_checks(checks: Checks, kinds: Iterable[str]) -> list[tuple[str, s
     return found
 
 
-def row_checks(df: DataFrame, table: str, checks: Checks,
-               kinds: Iterable[str] = ROW_KINDS) -> DataFrame | None:
-    conditions = _fails_row_checks(checks, kinds)
-    if not conditions:
-        return None
-    counted = df.agg(F.array(*[
-        F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
-                 F.count_if(fails).alias("failing_rows"))
-        for check, column, fails in conditions
-    ]).alias("results"))
-    return counted.select(F.lit(table).alias("table_name"), F.inline("results"))
+Part = tuple[str, Checks, Column]  # a table's name and checks, and which rows of the frame are its own
 
 
-def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Counts the values that occur more than once; NULLs are ignored."""
-    per_value = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    return per_value.agg(F.count_if(F.col("count") > 1).alias("failing_rows")).select(
-        F.lit(table).alias("table_name"), F.lit("unique").alias("check_name"),
-        F.lit(column).alias("column_name"), "failing_rows")
+def row_checks(df: DataFrame, parts: list[Part], kinds: Iterable[str] = ROW_KINDS) -> DataFrame | None:
+    """All row checks of a frame, and of tables that are some of its rows, in one pass."""
+    conditions = [(table, check, column, own & fails) for table, checks, own in parts
+                  for check, column, fails in _fails_row_checks(checks, kinds)]
+    if not conditions:
+        return None
+    return df.agg(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                 F.lit(column).alias("column_name"), F.count_if(fails).alias("failing_rows"))
+        for table, check, column, fails in conditions
+    ]).alias("results")).select(F.inline("results"))
+
+
+def unique_checks(df: DataFrame, parts: list[Part]) -> list[DataFrame]:
+    """Counts the values that occur more than once; NULLs are ignored. One grouping a column."""
+    found = []
+    for column in dict.fromkeys(c for _, checks, _ in parts for c in checks.unique):
+        tables = [(f"n{i}", table, own) for i, (table, checks, own) in enumerate(parts) if column in checks.unique]
+        per_value = df.where(F.col(column).isNotNull()).groupBy(column).agg(
+            *[F.count_if(own).alias(n) for n, _, own in tables])
+        found.append(per_value.agg(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit("unique").alias("check_name"),
+                     F.lit(column).alias("column_name"), F.count_if(F.col(n) > 1).alias("failing_rows"))
+            for n, table, _ in tables]).alias("results")).select(F.inline("results")))
+    return found
 
 
 def report(tables: Mapping[str, DataFrame], kinds: Iterable[str] = ALL_KINDS,
-           registry: Mapping[str, Checks] = CHECKS) -> DataFrame:
-    kinds = set(kinds)
+           registry: Mapping[str, Checks] = CHECKS,
+           views: Mapping[str, tuple[str, Column]] | None = None) -> DataFrame:
+    """``views`` names tables that are some rows of another one: they are checked in its passes."""
+    kinds, views = set(kinds), views or {}
     results = []
     for table, df in tables.items():
-        checks = registry.get(table, Checks())
-        rows = row_checks(df, table, checks, kinds)
+        parts = [(table, registry.get(table, Checks()), F.lit(True))]
+        parts += [(view, registry.get(view, Checks()), F.coalesce(own, F.lit(False)))
+                  for view, (of, own) in views.items() if of == table]
+        rows = row_checks(df, parts, kinds)
         if rows is not None:
             results.append(rows)
         if "unique" in kinds:
-            results += [unique_check(df, table, c) for c in checks.unique]
+            results += unique_checks(df, parts)
     if not results:
         raise ValueError(f"no checks of kind {sorted(kinds)} for {list(tables)}")
     return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failing_rows") == 0)

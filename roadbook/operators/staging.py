@@ -32,3 +32,10 @@ def stg_maintenance(raw: DataFrame) -> DataFrame:
 def stg_gps_events(raw: DataFrame, box=None) -> DataFrame:
     """Pings inside the service area; the filter reaches the file scan."""
     return stage(raw.where(inside_box() if box is None else box), "gps_events")
+
+
+def views() -> dict[str, tuple]:
+    """The staged tables as rows of the raw ones: staging casts to the types raw already has and filters."""
+    whole = {t: (f"raw.{r}", F.lit(True)) for t, r in (
+        ("silver.stg_routes", "routes"), ("silver.stg_vehicles", "vehicles"), ("silver.stg_maintenance", "maintenance_logs"))}
+    return whole | {"silver.stg_gps_events": ("raw.gps_events", inside_box())}

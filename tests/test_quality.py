@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadbook.checks import quality
 from roadbook.checks.registry import CHECKS, REQUIRED_COLUMNS, Checks
@@ -57,7 +58,7 @@ def test_gate(sample, spark):
 
 
 def test_row_checks_take_one_pass(sample):
-    plan = quality.row_checks(sample, "t", CHECK["t"])._jdf.queryExecution().executedPlan().toString()
+    plan = quality.row_checks(sample, [("t", CHECK["t"], F.lit(True)), ("v", CHECK["t"], F.col("n") > 0)])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
 
@@ -71,3 +72,11 @@ def test_required_columns(frame):
 
 def test_row_counts(sample):
     assert [tuple(r) for r in quality.row_counts({"t": sample}).collect()] == [("t", 7)]
+
+
+def test_a_view_is_checked_with_its_table(sample):
+    """The same counts as for the filtered rows by themselves, NULL conditions being no rows of the view."""
+    registry = CHECK | {"v": CHECK["t"]}
+    together = quality.report({"t": sample}, registry=registry, views={"v": ("t", F.col("n") > 0)})
+    apart = quality.report({"t": sample, "v": sample.where("n > 0")}, registry=registry)
+    assert outcome(together) == outcome(apart)
