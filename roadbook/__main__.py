@@ -25,9 +25,12 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--landing", required=True, metavar="FOLDER")
         one.add_argument("--warehouse", required=True, metavar="FOLDER")
         one.add_argument("--only", dest="tables", nargs="+", choices=list(TABLES), metavar="TABLE")
-        one.add_argument("--batch", required=name == "run", metavar="YYYY-MM-DD",
-                         help="one landed date" + ("; without it, all that are landed" if name == "load" else ""))
+        which = one.add_mutually_exclusive_group(required=name == "run")
+        which.add_argument("--batch", metavar="YYYY-MM-DD",
+                           help="one landed date" + ("; without it, all that are landed" if name == "load" else ""))
         if name == "run":
+            which.add_argument("--new-files", metavar="FOLDER", help="every batch with files not taken before; what has "
+                               "been taken is remembered in this folder")
             one.add_argument("--as-of", type=date.fromisoformat, default=date.today(), metavar="YYYY-MM-DD")
             one.add_argument("--full-refresh", action="store_true")
             one.add_argument("--latest-dimensions", action="store_true")
@@ -48,6 +51,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session("roadbook")
     if args.command == "load":
         loads = load_all(spark, args.landing, Warehouse(spark, args.warehouse), args.tables, args.batch)
+    elif args.new_files:
+        loads = pipeline.run_new_files(spark, args.landing, args.warehouse, args.as_of, args.new_files, args.tables,
+                                       latest_dimensions=args.latest_dimensions).loads
     else:
         loads = pipeline.run(spark, args.landing, args.warehouse, args.batch, args.as_of, args.tables,
                              full_refresh=args.full_refresh, latest_dimensions=args.latest_dimensions).loads

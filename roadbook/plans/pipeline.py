@@ -20,9 +20,10 @@ from roadbook.operators import staging
 from roadbook.operators.latest import latest_by
 from roadbook.plans import gold, silver
 from roadbook.schemas import TABLES
-from roadbook.sources.landing import require_landed
-from roadbook.sources.loader import BATCH, LoadResult, load_all, raw_table
+from roadbook.sources.landing import has_files, landing_folder, require_landed
+from roadbook.sources.loader import BATCH, LoadResult, load_all, load_table, raw_table
 from roadbook.sources.warehouse import Warehouse
+from roadbook.streaming.incremental import new_batches
 
 log = logging.getLogger(__name__)
 
@@ -200,3 +201,28 @@ def run(spark: SparkSession, landing: str, root: str, batch_date: str, as_of: da
     wanted = None if full_refresh else days
     log.info("batch %s: %d checks passed", batch_date, len(checks))
     return RunResult(loads, wanted, checks)
+
+
+def run_new_files(spark: SparkSession, landing: str, root: str, as_of: date, checkpoint: str,
+                  tables: Iterable[str] | None = None, latest_dimensions: bool = False) -> RunResult:
+    """As :func:`run`, for every batch that has files which no earlier call has taken.
+
+    A late file makes its batch load again as a whole, from all its landed files.
+    """
+    warehouse = Warehouse(spark, root)
+    loads: list[LoadResult] = []
+
+    def take(table: str, batches: list[str]) -> None:
+        for batch in batches:
+            before = days_of_batch(warehouse, batch) if table == "gps_events" else []
+            _remember(warehouse, before)
+            loads.append(load_table(spark, landing, warehouse, table, batch))
+            _remember(warehouse, days_of_batch(warehouse, batch) if table == "gps_events" else [])
+
+    for table in [t for t in tables or TABLES if t in TABLES]:
+        if has_files(spark, landing_folder(landing, table, "*") + "/*.csv*"):
+            new_batches(spark, landing, table, checkpoint, lambda batches, t=table: take(t, batches))
+    days = _remember(warehouse, [])
+    checks = check_inputs(warehouse, latest_dimensions)
+    checks += rebuild(warehouse, as_of, days, latest_dimensions)
+    return RunResult(loads, days, checks)

@@ -168,3 +168,21 @@ def test_no_number_stops_a_run(spark, tmp_path, number):
     result = pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF)
     assert {r.table: r.rows_errored for r in result.loads} == {"routes": 0, "vehicles": 0, "stops": 0, "gps_events": 2, "maintenance_logs": 1}
     assert Warehouse(spark, str(tmp_path / "wh")).read("silver.int_route_segments").count() == 1
+
+
+def test_new_files_are_taken_once_and_equal_a_full_rebuild(spark, tmp_path):
+    """Two runs, a late file between them, then a run without any."""
+    def run():
+        return pipeline.run_new_files(spark, str(tmp_path), str(tmp_path / "wh"), AS_OF, str(tmp_path / "taken"))
+
+    land_lines(tmp_path, "2024-01-15", [line(0, "2024-01-14"), line(2, "2024-01-15")])
+    assert {(r.table, r.rows_loaded) for r in run().loads} == {("gps_events", 2), *((t, 1) for t in REST)}
+    late = tmp_path / "raw" / "gps_events" / "date=2024-01-15" / "late.csv"
+    late.write_text("\n".join([HEADS["gps_events"], line(1, "2024-01-15"), line(3, "2024-02-01")]) + "\n")
+    second = run()
+    assert [(r.table, r.rows_loaded) for r in second.loads] == [("gps_events", 4)]
+    assert {str(d) for d in second.dates} == {"2024-01-14", "2024-01-15", "2024-02-01"}
+    third = run()
+    assert third.loads == [] and third.dates == []
+    pipeline.run(spark, str(tmp_path), str(tmp_path / "fresh"), "2024-01-15", AS_OF)
+    assert published(spark, tmp_path / "wh") == published(spark, tmp_path / "fresh")
