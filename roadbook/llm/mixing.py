@@ -136,22 +136,26 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     Repeated rows share an id, so the copies of one id are dealt as a whole: its
     rows are repeated in turn until the id's turns are used up.
     """
+    def key(id_, source, size) -> Column:
+        return F.md5(F.to_json(F.struct(id_.cast("string").alias("i"), source.cast("string").alias("s"), size.alias("n"))).cast("binary"))
+
     placed = queue(df, id_col, text_col, source_col, **options)
-    turns = (placed.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(1), F.greatest("turns", F.lit(1)))))
-             .where(F.col("__mix_epoch") <= F.col("turns"))
-             .withColumn("__mix_finish", F.col("first_finish") + (F.col("__mix_epoch") - 1) * F.col("source_size") / F.col("target"))
-             .select(F.col(id_col).alias("__mix_id"), F.col(source_col).alias("__mix_source"), F.col("size").alias("__mix_size"), "__mix_finish"))
-    same = Window.partitionBy("__mix_id", "__mix_source", "__mix_size")
-    kinds = Window.partitionBy("__mix_id", "__mix_source", "__mix_size").orderBy(F.xxhash64("__mix_text"))
-    rows = (df.withColumns({"__mix_id": F.col(id_col), "__mix_source": F.col(source_col), "__mix_text": F.col(text_col),
-                            "__mix_size": words(F.col(text_col))})
-            .withColumns({"__mix_row": F.row_number().over(kinds) - 1, "__mix_rows": F.count("*").over(same)})
-            .withColumnsRenamed({"__mix_id": "__mix_of", "__mix_source": "__mix_of_source", "__mix_size": "__mix_of_size"}))
-    dealt = turns.withColumn("__mix_turn", F.row_number().over(same.orderBy("__mix_finish")) - 1)
-    match = (F.col("__mix_id").eqNullSafe(F.col("__mix_of")) & F.col("__mix_source").eqNullSafe(F.col("__mix_of_source"))
-             & (F.col("__mix_size") == F.col("__mix_of_size")) & (F.col("__mix_turn") % F.col("__mix_rows") == F.col("__mix_row")))
-    return (rows.join(dealt, match).repartitionByRange("__mix_finish", "__mix_of")
-            .sortWithinPartitions("__mix_finish", "__mix_of").select(*df.columns))
+    same = Window.partitionBy("__mix_of")
+    dealt = (
+        placed.where("turns > 0")
+        .withColumn("__mix_epoch", F.explode(F.sequence(F.lit(1), F.col("turns"))))
+        .select(key(F.col(id_col), F.col(source_col), F.col("size")).alias("__mix_of"),
+                (F.col("first_finish") + (F.col("__mix_epoch") - 1) * F.col("source_size") / F.col("target")).alias("__mix_finish"))
+        .withColumn("__mix_turn", F.row_number().over(same.orderBy("__mix_finish")) - 1))
+    # dealt by one key, so that the numbering and the join find the texts where they are
+    alike = Window.partitionBy("__mix_key")
+    rows = (
+        df.withColumn("__mix_key", key(F.col(id_col), F.col(source_col), words(F.col(text_col)))).repartition("__mix_key")
+        .withColumns({"__mix_row": F.row_number().over(alike.orderBy(F.xxhash64(text_col))) - 1,
+                      "__mix_rows": F.count(F.lit(1)).over(alike)}))
+    match = (F.col("__mix_key") == F.col("__mix_of")) & (F.col("__mix_turn") % F.col("__mix_rows") == F.col("__mix_row"))
+    return (rows.join(dealt, match).repartitionByRange("__mix_finish", "__mix_key")
+            .sortWithinPartitions("__mix_finish", "__mix_key").select(*df.columns))
 
 
 def _in_sql(text: str) -> str:
