@@ -37,7 +37,9 @@ SPACE = "▁"
 _UNIT = re.compile(" +[^ ]*")
 # Longer units have a heap each: rounds over arrays would be as many as their merges.
 HEAP_LENGTH = 96
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
+# Ids that are Python numbers at a time, for the library to decode.
+DECODED = 200_000
 # Worked-out units that a worker remembers; past that it keeps those of the chunk at hand.
 REMEMBERED = 1_000_000
 # Units a text, where the library checks them: few calls, short texts.
@@ -131,15 +133,23 @@ class PieceCodec:
         text = text.replace(SPACE, " ")
         return [u[1:] for u in _UNIT.findall(" " + text)] if self.separable else [text]
 
-    def split(self, texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
-        """All units one behind the other, and how many each text has."""
-        odd = pc.match_substring_regex(texts, f"^$|^ | $|  |{SPACE}") if self.separable else None
-        if odd is None or pc.any(odd).as_py():
-            split = [self.units(t) if o else t.split(" ")
-                     for t, o in zip(texts.to_pylist(), odd.to_pylist() if odd is not None else [True] * len(texts))]
-            return pa.array(list(chain.from_iterable(split)), pa.string()), np.array([len(x) for x in split], np.int64)
-        split = pc.split_pattern(texts, " ")
-        return split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+    def split(self, texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """All units, and where each text's begin and how many it has: texts with runs of spaces come last."""
+        odd = np.ones(len(texts), bool)
+        if self.separable:
+            odd = pc.match_substring_regex(texts, f"^$|^ | $|  |{SPACE}").to_numpy(zero_copy_only=False)
+        plain = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        strange = [self.units(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        counts = np.zeros(len(texts), np.int64)
+        counts[~odd] = pc.list_value_length(plain).to_numpy()
+        counts[odd] = [len(x) for x in strange]
+        starts = np.zeros(len(texts), np.int64)
+        order = np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        units = plain.flatten()
+        if odd.any():
+            units = pa.concat_arrays([units, pa.array(list(chain.from_iterable(strange)), pa.string())])
+        return units, starts, counts
 
     def merge(self, unit: str) -> tuple[int, ...]:
         """The ids of one unit: pop the best pair, merge it, offer its new neighbours."""
@@ -252,7 +262,7 @@ class PieceCodec:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one behind the other, and how many each text has."""
-        units, n_units = self.split(texts)
+        units, starts, counts = self.split(texts)
         if not len(units):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = units.dictionary_encode()
@@ -260,8 +270,22 @@ class PieceCodec:
         which = at[coded.indices.to_numpy()]
         width = self.lengths[which]
         upto = np.concatenate(([0], np.cumsum(width)))
-        bounds = upto[np.concatenate(([0], np.cumsum(n_units)))]
-        return self.ids[spans(self.starts[which], width)], np.diff(bounds)
+        first, lengths = upto[starts], upto[starts + counts] - upto[starts]
+        ids = self.ids[spans(self.starts[which], width)]
+        if (np.diff(starts) < 0).any():  # back into the texts' order
+            ids = ids[spans(first, lengths)]
+        return ids, lengths
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts that the library makes of runs of ids; few of them at a time are Python numbers."""
+        texts: list[str] = []
+        start = 0
+        while start < len(offsets) - 1:
+            end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + DECODED, "right")) - 1)
+            rows = [ids[a:b].tolist() for a, b in pairwise(offsets[start: end + 1].tolist())]
+            texts += self.library.decode(rows, num_threads=1)
+            start = end
+        return texts
 
     def recall(self, units: pa.StringArray) -> np.ndarray:
         """The places of different units among those worked out; the new ones are added."""
@@ -331,8 +355,7 @@ def encode_decode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
                 offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 out = [batch.column(0).slice(start, len(texts)), pa.ListArray.from_arrays(offsets, ids)]
                 if decode:
-                    rows = [ids[a:b].tolist() for a, b in pairwise(offsets.tolist())]
-                    out.append(pa.array(own.library.decode(rows, num_threads=1), pa.string()))
+                    out.append(pa.array(own.decode(ids, offsets), pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=names)
                 start += len(texts)
 
