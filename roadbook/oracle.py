@@ -112,19 +112,20 @@ daily AS (
 route_sums AS (
   SELECT route_id, route_name, zone, district, event_date AS segment_date,
     count(DISTINCT vehicle_id) AS vehicles_on_route,
-    sum(CAST(round(speed_mph * 10) AS BIGINT)) AS tenths,
+    sum(CAST(round(speed_mph * 10) AS BIGINT)) AS tenths, count(speed_mph) AS speeds,
     sum(segment_distance_miles) AS miles,
     sum(idle_flag) AS idle,
     count(*) AS total_events
   FROM segments GROUP BY ALL),
 efficiency AS (
   SELECT route_id, route_name, zone, district, segment_date, vehicles_on_route,
-    {_half_up('10 * tenths', 'total_events')} AS avg_speed,
+    {_half_up('10 * tenths', 'speeds')} AS avg_speed,
     round(miles, 4) AS total_miles,
     {_half_up('10000 * idle', 'total_events')} AS avg_idle_pct,
     total_events,
-    {_half_up('10000 * total_events - 5000 * idle - 3 * greatest(0, 350 * total_events - tenths)',
-              'total_events')} AS efficiency_score
+    CASE WHEN speeds > 0 THEN
+      {_half_up('(10000 * total_events - 5000 * idle) * speeds - 3 * total_events * greatest(0, 350 * speeds - tenths)',
+                'total_events * speeds')} END AS efficiency_score
   FROM route_sums),
 services AS (
   SELECT vehicle_id, max(service_date) AS last_service_date,
@@ -144,7 +145,7 @@ health AS (
   FROM raw_vehicles v LEFT JOIN services s ON v.vehicle_id = s.vehicle_id),
 month_sums AS (
   SELECT vehicle_id, CAST(date_trunc('month', event_date) AS DATE) AS "month",
-    sum(CAST(round(avg_speed_mph * 100) AS BIGINT)) AS speed_c,
+    sum(CAST(round(avg_speed_mph * 100) AS BIGINT)) AS speed_c, count(avg_speed_mph) AS speed_n,
     sum(CAST(round(idle_pct * 100) AS BIGINT)) AS idle_c,
     sum(CAST(total_miles AS DECIMAL(18,4))) AS miles,
     sum(trips_count) AS trips,
@@ -154,14 +155,15 @@ month_sums AS (
   FROM daily GROUP BY ALL),
 performance AS (
   SELECT m.vehicle_id, v.make, v.model, v.vehicle_class, m."month",
-    {_half_up('speed_c', 'days')} AS avg_speed,
+    {_half_up('speed_c', 'speed_n')} AS avg_speed,
     {_half_up('idle_c', 'days')} AS idle_pct,
     CAST(round(miles, 2) AS DOUBLE) AS total_miles,
     CAST(trips AS BIGINT) AS total_trips,
     days AS active_days,
     {_half_up('active_c', 'nullif(active_n, 0)')} AS avg_active_mins_per_day,
-    {_half_up('630000 * days + 40 * least(speed_c, 4500 * days) - 27 * idle_c', '90 * days')}
-      AS safety_score
+    CASE WHEN speed_n > 0 THEN
+      {_half_up('630000 * days * speed_n + 40 * days * least(speed_c, 4500 * speed_n) - 27 * speed_n * idle_c',
+                '90 * days * speed_n')} END AS safety_score
   FROM month_sums m LEFT JOIN raw_vehicles v ON m.vehicle_id = v.vehicle_id),
 landed AS (
   SELECT {GPS_COLUMNS.replace('AS event_id', 'AS clean_id').replace('AS route_id', 'AS clean_route')
