@@ -469,7 +469,7 @@ _DIRTY = [
                                        "status": [(13, "NULL")], "year": [(17, "2009")]}),
     _spoilt("gps_events", "event_id", {"event_id": [(101, "NULL"), (103, "'EV-0000001'")], "vehicle_id": [(89, "NULL")],
                                        "route_id": [(83, "NULL")], "speed_mph": [(79, "NULL"), (73, "150.0e0")]}),
-    _spoilt("maintenance_logs", "log_id", {"log_id": [(29, "NULL"), (37, "'ML-000001'")], "vehicle_id": [(31, "NULL")],
+    _spoilt("maintenance_logs", "log_id", {"log_id": [(29, "NULL")], "vehicle_id": [(31, "NULL")],
                                            "cost_usd": [(19, "-cost_usd"), (23, "NULL")]}),
 ]
 
