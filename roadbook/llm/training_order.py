@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.llm.common import Scratch, ship
@@ -115,19 +115,17 @@ def in_training_order(df: DataFrame, model: bytes, id_col: str = "doc_id", text_
     """``slot, shard, offset, id, part, n_tokens, tokens``, each shard whole and in order within one partition."""
     spark = df.sparkSession
     stored = Scratch(spark, "order").keep(sequences(df, model, id_col, text_col, length))
-    counts = stored.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    starts = counts.select(F.col("partition").alias("of"), (upto - F.col("n")).alias("before"))
-    total = stored.count()
+    # one number a task that wrote sequences: as many as the driver keeps of a job's tasks anyway
+    counts = stored.groupBy("partition").count().toPandas().set_index("partition")["count"].sort_index()
+    starts, total = counts.cumsum() - counts, int(counts.sum())
 
     @F.pandas_udf("long")
-    def slot(number: pd.Series) -> pd.Series:
-        return pd.Series(permute(number.to_numpy(), total, key))
+    def slot(partition: pd.Series, position: pd.Series) -> pd.Series:
+        return pd.Series(permute(partition.map(starts).to_numpy(np.int64) + position.to_numpy(), total, key))
 
     stride = HEAD + 2 * length + TAIL
     return (
-        stored.join(starts, F.col("partition") == F.col("of"))
-        .withColumn("slot", slot(F.col("before") + F.col("position")))
+        stored.withColumn("slot", slot("partition", "position"))
         .withColumn("shard", F.floor(F.col("slot") / shard))
         .select("slot", "shard", (F.col("slot") % shard * stride).alias("offset"), "id", "part", "n_tokens", "tokens")
         .repartitionByRange("shard").sortWithinPartitions("shard", "slot"))
