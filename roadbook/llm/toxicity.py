@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,11 +77,12 @@ def describe(texts: Sequence[str | None], index: dict[str, int]) -> tuple[list[l
     return columns, dense
 
 
-def matrix(columns: list[list[int]], dense: np.ndarray, width: int) -> np.ndarray:
-    x = np.zeros((len(columns), width + SHARES), np.float32)
-    for i, c in enumerate(columns):
-        x[i, c] = 1
-    x[:, width:] = dense
+def matrix(columns: pa.ListArray, dense: np.ndarray, width: int, categories: int) -> np.ndarray:
+    """A row for each text: 0/1 for words, then shares, then room for the categories' log-odds."""
+    x = np.zeros((len(columns), width + SHARES + categories), np.float32)
+    lengths = pc.list_value_length(columns).to_numpy()
+    x[np.repeat(np.arange(len(columns)), lengths), columns.flatten().to_numpy()] = 1
+    x[:, width: width + SHARES] = dense
     return x
 
 
@@ -93,25 +95,25 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p)) / 10
 
 
-def fit(x: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient steps.
+def fit(x: np.ndarray, y: np.ndarray, width: int, used: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by accelerated gradient steps, over the rows ``used``.
 
     The first ``width`` columns, the words, are scaled by how their odds differ
-    between the two kinds of rows, so that the ridge holds back those that hardly do.
+    between the two kinds of rows, so that the ridge holds back those that hardly
+    do. Scales and left-out rows are factors, so the one matrix is never copied.
     """
-    if not len(y) or y.min() == y.max():
-        return np.zeros(x.shape[1]), 30.0 if len(y) and y[0] else -30.0
-    n, marked = len(y), float(y.sum())
-    both = x[:, :width].sum(axis=0)
-    of_marked = x[:, :width].T @ y.astype(np.float32)
+    used = np.ones(len(y), np.float32) if used is None else used.astype(np.float32)
+    n, marked = float(used.sum()), float(used @ y)
+    if marked in (0.0, n):
+        return np.zeros(x.shape[1]), 30.0 if marked else -30.0
+    both, of_marked = used @ x[:, :width], (used * y).astype(np.float32) @ x[:, :width]
     scale = np.ones(x.shape[1], np.float32)
     scale[:width] = np.abs(np.log((of_marked + 0.5) / (marked + 1)) - np.log((both - of_marked + 0.5) / (n - marked + 1)))
-    x = x * scale
     w, b = np.zeros(x.shape[1], np.float32), float(np.log(marked / (n - marked)))
     # curvature: a quarter of the largest eigenvalue of x'x/n, by power steps
     v = np.ones(x.shape[1], np.float32)
     for _ in range(12):
-        v = x.T @ (x @ v)
+        v = scale * (x.T @ (used * (x @ (scale * v))))
         size = float(np.linalg.norm(v))
         v /= size or 1.0
     step = 1 / (size / n / 4 + 0.25 + RIDGE)
@@ -119,10 +121,10 @@ def fit(x: np.ndarray, y: np.ndarray, width: int) -> tuple[np.ndarray, float]:
     for t in range(1, STEPS + 1):
         speed = (t - 1) / (t + 2)
         at, at_b = w + speed * (w - past), b + speed * (b - past_b)
-        error = sigmoid(x @ at + at_b) - y
+        error = (used * (sigmoid(x @ (scale * at) + at_b) - y)).astype(np.float32)
         past, past_b = w, b
-        w = at - step * (x.T @ error.astype(np.float32) / n + RIDGE * at)
-        b = at_b - step * float(error.mean())
+        w = at - step * (scale * (x.T @ error) / np.float32(n) + RIDGE * at)
+        b = at_b - step * float(error.sum()) / n
     return (w * scale).astype(np.float64), b
 
 
@@ -149,16 +151,20 @@ class Chain:
 
 
 def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, width: int) -> tuple[list, list, np.ndarray]:
-    """Weights and offsets of each category, and the out-of-fold probabilities."""
+    """Weights and offsets of each category, and the out-of-fold probabilities.
+
+    The last columns of ``x``, one a category, are filled in as the chain goes.
+    """
     weights, offsets, held = [], [], np.zeros(labels.shape)
     for k in range(labels.shape[1]):
-        seen = np.hstack([x, logit(held[:, :k]).astype(np.float32)])
+        seen = x[:, : width + SHARES + k]
         for f in range(FOLDS):
-            w, b = fit(seen[fold != f], labels[fold != f, k], width)
-            held[fold == f, k] = sigmoid(seen[fold == f] @ w + b)
+            w, b = fit(seen, labels[:, k], width, fold != f)
+            held[fold == f, k] = sigmoid(seen[fold == f] @ w.astype(np.float32) + b)
         w, b = fit(seen, labels[:, k], width)
         weights.append(w)
         offsets.append(b)
+        x[:, width + SHARES + k] = logit(held[:, k])
     return weights, offsets, held
 
 
@@ -180,7 +186,6 @@ def labelled_sample(df: DataFrame, labels: DataFrame, categories: dict[str, F.Co
     """``id, text`` and one 0/1 column for each category: at most ``sample`` rows."""
     marked = labels.select(F.col(id_col).alias("_id"), *[c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())])
     marked = marked.dropna().groupBy("_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))])
-    # twice as many ids as rows wanted: some labels may name no document
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     some = texts.join(marked, F.col("id") == F.col("_id"), "left_semi").select("id").distinct()
     some = some.orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -242,10 +247,11 @@ def train(df: DataFrame, labels: DataFrame, categories: dict[str, F.Column], id_
     schema = "columns array<int>, dense array<double>, place long, " + ", ".join(f"{y} int" for y in ys)
     got = (rows.select("text", F.xxhash64("id").alias("place"), *ys).mapInArrow(work, schema)
            .toArrow().sort_by("place"))
-    columns, places = got["columns"].to_pylist(), got["place"].to_numpy()
-    dense = np.array(got["dense"].to_pylist()).reshape(-1, SHARES)
+    places = got["place"].to_numpy()
+    dense = got["dense"].combine_chunks().flatten().to_numpy().reshape(-1, SHARES)
+    x = matrix(got["columns"].combine_chunks(), dense, len(index), len(ys))
     labels_01 = np.column_stack([got[y].to_numpy() for y in ys]).astype(np.float64)
-    weights, offsets, held = fit_chain(matrix(columns, dense, len(index)), labels_01, places % FOLDS, len(index))
+    weights, offsets, held = fit_chain(x, labels_01, places % FOLDS, len(index))
     cuts = [threshold(held[:, k], labels_01[:, k]) for k in range(len(categories))]
     figures = {c: {"rows": len(places), "marked": int(labels_01[:, k].sum()), "threshold": cuts[k],
                    "caught": int(((held[:, k] >= cuts[k]) & (labels_01[:, k] == 1)).sum()),

@@ -37,7 +37,7 @@ def test_a_later_category_uses_an_earlier_one():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2, (400, 6)).astype(np.float32)
     y = np.column_stack([x[:, 0], x[:, 0]])
-    weights, offsets, held = toxicity.fit_chain(np.hstack([x, np.zeros((400, toxicity.SHARES), np.float32)]), y, np.arange(400) % toxicity.FOLDS, 6)
+    weights, offsets, held = toxicity.fit_chain(np.hstack([x, np.zeros((400, toxicity.SHARES + 2), np.float32)]), y, np.arange(400) % toxicity.FOLDS, 6)
     assert weights[1][-1] > 0.5
     assert ((held[:, 1] > 0.5) == (y[:, 1] == 1)).all()
 
@@ -45,7 +45,7 @@ def test_a_later_category_uses_an_earlier_one():
 def test_folds_hold_rows_out():
     """Labels that nothing tells: predictions of rows a model had seen would follow them."""
     rng = np.random.default_rng(1)
-    x = np.hstack([np.eye(200, dtype=np.float32), np.zeros((200, toxicity.SHARES), np.float32)])
+    x = np.hstack([np.eye(200, dtype=np.float32), np.zeros((200, toxicity.SHARES + 1), np.float32)])
     y = rng.integers(0, 2, (200, 1)).astype(float)
     _, _, held = toxicity.fit_chain(x, y, np.arange(200) % toxicity.FOLDS, 200)
     assert np.ptp(held) < 0.3
