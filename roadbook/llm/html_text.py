@@ -58,6 +58,8 @@ _SEMANTIC = {"article": 3.0, "main": 2.0, "body": 0.7, "html": 0.1}
 FAINTEST = 2.0**-20
 # A page's vote goes to containers with at least this share of its best score, in thousandths.
 LEAST_SHARE = 250
+# A host's pages are dealt over so many places to meet its path: one host may have a third of all pages.
+SALTS = 32
 
 
 class Container:
@@ -281,8 +283,11 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     """``id_col, url_col, path, text``: the page's main text and its host's winning path."""
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                       host(F.col(url_col)).alias("host"))
-    paths = winning_paths(pages).withColumnRenamed("host", "voter")
-    joined = pages.join(paths, F.col("host") == F.col("voter"), "left").select("id", "url", "path", "html")
+    paths = (winning_paths(pages).withColumnRenamed("host", "voter")
+             .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = pages.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    met = (F.col("host") == F.col("voter")) & (F.col("salt") == F.col("place"))
+    joined = salted.join(paths, met, "left").select("id", "url", "path", "html")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
