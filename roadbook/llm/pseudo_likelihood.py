@@ -2,9 +2,15 @@
 
 A small network predicts each token from the ``SIDE`` tokens before and the
 ``SIDE`` behind it, the token itself masked; a document's score is the sum of the
-log-probabilities of its tokens so conditioned. Tokens are words: the commonest
-ones of the corpus, by exact counts over all documents, and for the others
-classes by their endings.
+log-probabilities of its tokens so conditioned. Tokens are words. The network
+knows the commonest ones of the corpus, by exact counts over all documents, and
+for the others classes by their endings. ``score_words`` scores the words
+themselves: a word of a class adds log P(word | class) by the counts of all
+words, so the vocabulary is every word of the corpus. The counts of frequent
+words travel with the tasks, those of the others are joined by the word.
+
+P(word | class) is n(word) / (n(class) + 1): whatever words of a class were never
+counted share the place of one word counted once.
 
 The network is an embedding of the neighbours, one hidden layer and a softmax,
 in numpy. Every document takes part in its training: documents are dealt to
@@ -44,6 +50,10 @@ CHUNK_CHARS = 4_000_000
 UNIT = 2.0**-24
 # Tokens scored at a time: their logits stay in the processor's cache.
 BLOCK = 4096
+# Words whose counts travel with the tasks, at most.
+CARRIED = 65_536
+# Logarithms that are joined are summed as multiples of this: no order of tasks shows.
+LOG_UNIT = 2.0**-30
 
 
 @dataclass
@@ -129,6 +139,11 @@ class Tokens:
 
     def split(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The token numbers of all texts one behind the other, and how many each has."""
+        numbers, coded, lengths = self.split_coded(texts)
+        return numbers[coded.indices.to_numpy()], lengths
+
+    def split_coded(self, texts: pa.StringArray) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
+        """The token number of each different word, the words so coded, and how many each text has."""
         lists = words_of(texts)
         coded = lists.flatten().dictionary_encode()
         at = pc.index_in(coded.dictionary, self.common)
@@ -136,7 +151,7 @@ class Tokens:
         rare = pc.is_null(at).to_numpy(zero_copy_only=False)
         endings = [zlib.crc32(w[-3:].encode()) % CLASSES for w in coded.dictionary.filter(pc.is_null(at)).to_pylist()]
         numbers[rare] = self.numbers + np.array(endings, np.int32)
-        return numbers[coded.indices.to_numpy()], pc.list_value_length(lists).to_numpy().astype(np.int64)
+        return numbers, coded, pc.list_value_length(lists).to_numpy().astype(np.int64)
 
     def around(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """For each token the numbers of its neighbours; ``size`` beyond the text's ends."""
@@ -170,14 +185,17 @@ def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, text_col: str = "text", common: int = COMMON, rounds: int = ROUNDS) -> tuple[Tokens, Network]:
-    """Token numbers and a network fitted to every document of the corpus."""
+def train(df: DataFrame, text_col: str = "text", common: int = COMMON, rounds: int = ROUNDS,
+          counted: DataFrame | None = None) -> tuple[Tokens, Network]:
+    """Token numbers and a network fitted to every document of the corpus; ``counted``: its words, if counted before."""
     ship(df.sparkSession)
-    scratch = Scratch(df.sparkSession, "words")
-    counted = scratch.keep(count_words(df, text_col))
+    scratch, own = Scratch(df.sparkSession, "words"), counted is None
+    if own:
+        counted = scratch.keep(count_words(df, text_col))
     top = counted.orderBy(F.desc("n"), "word").limit(common).collect()
     others = (counted.agg(F.sum("n")).first()[0] or 0) - sum(r.n for r in top)
-    scratch.drop(counted)
+    if own:
+        scratch.drop(counted)
     tokens = Tokens([r.word for r in top])
     network = Network.start(np.array([r.n for r in top] + [others / CLASSES] * CLASSES, np.float64))
     for number in range(rounds):
@@ -218,7 +236,7 @@ def _round(share: DataFrame, tokens: Tokens, network: Network, rate: float) -> N
 
 
 def score(df: DataFrame, tokens: Tokens, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_tokens, log_likelihood, mean``: sums over all tokens of each document."""
+    """``id_col, n_tokens, log_likelihood, mean``: sums over all tokens of each document, a rare word scored as its class."""
     ship(df.sparkSession)
     flat = network.flat()
 
@@ -239,3 +257,90 @@ def score(df: DataFrame, tokens: Tokens, network: Network, id_col: str = "doc_id
 
     schema = f"`{id_col}` {type_of(df, id_col)}, n_tokens long, log_likelihood double, mean double"
     return df.select(id_col, text_col).mapInArrow(work, schema)
+
+
+def class_totals(counted: DataFrame, tokens: Tokens) -> np.ndarray:
+    """How many words of the corpus each class stands for."""
+    ending = F.crc32(F.expr("right(word, 3)").cast("binary")) % CLASSES
+    rare = counted.where(~F.col("word").isin(tokens.common.to_pylist())) if tokens.numbers else counted
+    totals = np.zeros(CLASSES)
+    for r in rare.groupBy(ending.alias("ending")).agg(F.sum("n").alias("n")).collect():
+        totals[r.ending] = r.n
+    return totals
+
+
+def frequent(counted: DataFrame) -> tuple[int, pa.Table]:
+    """The least power of two that at most ``CARRIED`` words reach, and those words with their counts."""
+    power = F.length(F.bin("n")) - 1
+    least, words = 1, 0
+    for r in counted.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():
+        words += r["count"]
+        if words > CARRIED:
+            least = 2 ** (r.power + 1)
+            break
+    return least, counted.where(F.col("n") >= least).select("word", "n").toArrow()
+
+
+def score_words(df: DataFrame, tokens: Tokens, network: Network, counted: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """As ``score``, each word scored as itself; ``counted``: ``word, n`` of the corpus, stored."""
+    spark = df.sparkSession
+    ship(spark)
+    flat = network.flat()
+    classes = np.log(np.concatenate((np.ones(tokens.numbers), class_totals(counted, tokens) + 1)))
+    least, carried = frequent(counted)
+    known = carried.column("word").combine_chunks().cast(pa.string())
+    logs = np.append(np.log(carried.column("n").to_numpy().astype(np.float64)), 0.0)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        own, row = Network.from_flat(flat, tokens.size), TaskContext.get().partitionId() << 33
+        for batch in batches:
+            start = 0
+            for texts in chunks(pc.fill_null(batch.column(1).cast(pa.string()), ""), CHUNK_CHARS):
+                by_word, coded, lengths = tokens.split_coded(texts)
+                at, indices = pc.index_in(coded.dictionary, known), coded.indices.to_numpy()
+                numbers = by_word[indices]
+                found = own.log_probabilities(tokens.around(numbers, lengths), numbers)
+                rare = by_word >= tokens.numbers
+                place = pc.fill_null(at, len(known)).to_numpy()
+                found += np.where(rare, logs[place], 0.0)[indices] - classes[numbers]
+                of = np.repeat(np.arange(len(lengths)), lengths)
+                sums = np.bincount(of, found, len(lengths)).astype(np.float64)
+                n, none = len(texts), pa.nulls
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(n)), batch.column(0).slice(start, n), pa.array(lengths), pa.array(sums),
+                     none(n, pa.string()), none(n, pa.list_(pa.int32()))], names=names)
+                # the words whose counts are elsewhere, each with the texts that have it
+                away = rare & (place == len(known))
+                if away.any():
+                    here = np.flatnonzero(away[indices])
+                    here = here[np.argsort(indices[here], kind="stable")]
+                    ends = np.cumsum(np.bincount(indices[here], minlength=len(away))[away])
+                    texts_of = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(of[here].astype(np.int32)))
+                    m = len(ends)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(m, row)), none(m, batch.column(0).type), none(m, pa.int64()), none(m, pa.float64()),
+                         coded.dictionary.filter(pa.array(away)), texts_of], names=names)
+                start, row = start + n, row + n
+
+    names = ["row", "id", "n_tokens", "sums", "word", "texts"]
+    schema = f"row long, id {type_of(df, id_col)}, n_tokens long, sums double, word string, texts array<int>"
+    stored = Scratch(spark, "scores").keep(df.select(id_col, text_col).mapInArrow(work, schema))
+    # a word counted once adds log 1, like one never counted
+    others = counted.where((F.col("n") > 1) & (F.col("n") < least)).select(
+        "word", F.round(F.log("n") / LOG_UNIT).cast("long").alias("log"))
+    joined = (stored.where("word is not null").select("row", "word", "texts").join(others, "word")
+              .select("row", "log", F.explode("texts").alias("text"))
+              .groupBy((F.col("row") + F.col("text")).alias("row")).agg(F.sum("log").alias("logs")))
+    total = F.col("sums") + F.coalesce(F.col("logs") * LOG_UNIT, F.lit(0.0))
+    return (stored.where("word is null").select("row", "id", "n_tokens", "sums").join(joined, "row", "left")
+            .select(F.col("id").alias(id_col), "n_tokens", total.alias("log_likelihood"),
+                    F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean")))
+
+
+def score_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every document scored by a network and by the counts of words that the same documents give."""
+    counted = Scratch(df.sparkSession, "words").keep(count_words(df, text_col))
+    return score_words(df, *train(df, text_col, counted=counted), counted, id_col, text_col)

@@ -52,8 +52,7 @@ def op3_simhash(spark, sf_dir):
 
 @query
 def op4_pseudo_likelihood(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return pseudo_likelihood.score(documents, *pseudo_likelihood.train(documents))
+    return pseudo_likelihood.score_corpus(table(spark, sf_dir, "documents"))
 
 
 @query

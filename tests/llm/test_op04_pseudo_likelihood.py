@@ -101,3 +101,44 @@ def test_strange_texts(spark, strange, trained):
     assert len(alike) == 3 and alike == pytest.approx([alike[0]] * 3, rel=1e-5)
     for few in (strange, strange.limit(0), strange.where("text = ''")):
         assert pl.score(few, *pl.train(few)).count() == few.count()
+
+
+@pytest.mark.parametrize("carried", [0, 40, pl.CARRIED])
+def test_each_word_is_scored_as_itself(spark, strange, trained, monkeypatch, carried):
+    """Whether its count travels with the task or is joined: the class's score and log P(word | class) by plain counts."""
+    monkeypatch.setattr(pl, "CARRIED", carried)
+    tokens, network = trained
+    seen = table(spark, TINY, "documents").limit(30)
+    held = seen.select("doc_id", "text").union(strange.select("doc_id", "text"))
+    counted = pl.Scratch(spark, "words").keep(pl.count_words(seen))
+    counts = Counter(w for r in seen.collect() for w in (r.text or "").lower().split())
+    common, ending = set(tokens.common.to_pylist()), lambda w: pl.zlib.crc32(w[-3:].encode()) % pl.CLASSES
+    totals = Counter()
+    for w, n in counts.items():
+        if w not in common:
+            totals[ending(w)] += n
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.log_likelihood)
+    ours = sorted(pl.score_words(held, tokens, network, counted).collect(), key=key)
+    by_class = {}
+    for r in pl.score(held, tokens, network).collect():
+        by_class.setdefault((r.doc_id, r.n_tokens), []).append(r.log_likelihood)
+    texts = {}
+    for r in held.collect():
+        words = pl.words_of(pl.pa.array([r.text or ""])).flatten().to_pylist()
+        own = sum(math.log(max(1, counts[w]) / (totals[ending(w)] + 1)) for w in words if w not in common)
+        texts.setdefault((r.doc_id, len(words)), []).append(own)
+    assert len(ours) == held.count()
+    for r in ours:
+        rest = [r.log_likelihood - b for b in by_class[r.doc_id, r.n_tokens]]
+        assert any(x == pytest.approx(y, rel=1e-4, abs=1e-3) for x in rest for y in texts[r.doc_id, r.n_tokens])
+        assert r["mean"] == (pytest.approx(r.log_likelihood / r.n_tokens) if r.n_tokens else None)
+
+
+def test_words_of_one_class_do_not_count_alike(spark):
+    """A text whose words are swapped for rarer ones of the same endings scores less."""
+    rows = [(i, "the river flows to the sea and the walker follows the river") for i in range(9)]
+    swapped = "the qiver flows to the sea and the zalker follows the qiver"
+    df = spark.createDataFrame([*rows, (9, swapped)], "doc_id long, text string")
+    counted = pl.Scratch(spark, "words").keep(pl.count_words(df))
+    scores = {r.doc_id: r.log_likelihood for r in pl.score_words(df, *pl.train(df, common=1, counted=counted), counted).collect()}
+    assert scores[9] == pytest.approx(scores[0] - 3 * math.log(9), rel=1e-5)
