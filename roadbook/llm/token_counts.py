@@ -1,7 +1,8 @@
 """Operator 5: token counts by a linear longest-match automaton.
 
 Greedy word-piece takes the longest piece at a word's start, then the longest
-continuation, and so on. A trie over the vocabulary, with one root for a word's
+continuation, and so on. A beginning may be empty: a word that no longer one fits
+starts with that piece, which takes none of its letters. A trie over the vocabulary, with one root for a word's
 beginning and one for its rest, gets for every node a failure link and the
 number of pieces popped on the way along it. A word is then read once, letter by
 letter: where the trie has no way on, the popped pieces are counted and the link
@@ -48,10 +49,12 @@ class Automaton:
                         self.next.append({})
                         piece.append(False)
                     node = self.next[node][c]
-                piece[node] |= node > self.REST
+                piece[node] |= node > self.REST or root == self.ROOT and not text
         self.link, self.pops = [_NONE] * len(piece), [0] * len(piece)
+        if piece[self.ROOT]:
+            self.link[self.ROOT], self.pops[self.ROOT] = self.REST, 1
         level = [self.ROOT, self.REST]
-        while level:  # breadth first: a link leads to a node that is less deep
+        while level:  # breadth first: a link leads to a node that is less deep, or as deep under the other root
             below = []
             for parent in level:
                 for c, node in self.next[parent].items():
@@ -87,13 +90,16 @@ class Automaton:
 
 
 def word_pieces(model: bytes) -> tuple[list[str], list[str]]:
-    """A word-piece vocabulary out of a piece vocabulary: pieces behind a space begin words, others go on."""
+    """A word-piece vocabulary out of a piece vocabulary: pieces behind a space begin words, others go on.
+
+    The space alone is the empty beginning.
+    """
     import sentencepiece
 
     lib = sentencepiece.SentencePieceProcessor(model_proto=model)
     pieces = [lib.id_to_piece(i) for i in range(lib.get_piece_size())
               if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))]
-    return ([p[1:] for p in pieces if p[0] == SPACE and SPACE not in p[1:] and len(p) > 1],
+    return ([p[1:] for p in pieces if p[0] == SPACE and SPACE not in p[1:]],
             [p for p in pieces if SPACE not in p])
 
 
