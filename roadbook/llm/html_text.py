@@ -6,7 +6,9 @@ share of the page's score, for their path: tags with classes, numbers taken out.
 Spark counts the votes of each host, and every page is extracted again from the
 containers on its host's winning path; a page that has none there uses its own
 best container. Within a container menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are left out.
+adverts, forms, scripts, styles and reader comments are left out. A form, or a
+box with a listed word in its names, stays where it holds the page's main text:
+see ``_resolve``.
 
 Defined results: null and empty html give the empty text; a page without a
 usable url has no host and votes for itself alone; unfinished markup at the end
@@ -51,7 +53,15 @@ breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdp
 navbar navigation newsletter notice notices notification outbrain overlay pager pagination paywall popup promo promoted
 promotion recommended recommendations related reply replies respond share sharing sidebar sidebars signup skip social
 sponsor sponsored subscribe subscription taboola toolbar topbar widget widgets""".split())
-_ONLY_LAYOUT = frozenset("has no with without".split())
+_ONLY_LAYOUT = frozenset("has no with without open closed".split())
+# Words that mark readers' text, in any name.
+_READERS = frozenset("comment comments disqus replies reply respond".split())
+MAIN = frozenset("article main".split())
+# Elements that end at their next sibling, with the elements within which that is looked for.
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}
+_SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table", "tr"), "th": ("table", "tr"), "tr": ("table",)}
+# How sure it is that an element is left out: a form or a listed word among others, names of listed words, the rest.
+NOT, DOUBTED, NAMED, SURE = range(4)
 WHOLE = frozenset("html body main article".split())
 _SEMANTIC = {"article": 3.0, "main": 2.0, "body": 0.7, "html": 0.1}
 # A block counts half as much for each container further out, as far as that is seen.
@@ -65,11 +75,12 @@ SALTS = 32
 class Container:
     """An open element that holds blocks, or one whose content is left out."""
 
-    __slots__ = ("tag", "step", "parent", "skipped", "score", "weight", "heading")
+    __slots__ = ("tag", "step", "parent", "skipped", "mark", "size", "score", "weight", "heading")
 
-    def __init__(self, tag: str, step: str, parent: Container | None, skipped: bool, weight: float):
-        self.tag, self.step, self.parent, self.skipped, self.weight = tag, step, parent, skipped, weight
-        self.score = 0.0
+    def __init__(self, tag: str, step: str, parent: Container | None, mark: int, weight: float):
+        self.tag, self.step, self.parent, self.mark, self.weight = tag, step, parent, mark, weight
+        self.skipped = mark == SURE or parent is not None and parent.skipped  # for sure; others are resolved later
+        self.size, self.score = 0, 0.0
         self.heading = False
 
     def path(self) -> str:
@@ -84,21 +95,23 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text else {}
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in SKIPPED:
-        return True
-    if not attributes:
-        return False
-    if "hidden" in attributes or attributes.get("role", "").lower() in SKIPPED_ROLES:
-        return tag not in ("html", "body")
+def _boilerplate(tag: str, attributes: dict[str, str]) -> int:
+    mark = DOUBTED if tag == "form" else SURE if tag in SKIPPED else NOT
+    if mark == SURE or not attributes:
+        return mark
+    role = attributes.get("role", "").lower()
+    if "hidden" in attributes or role in SKIPPED_ROLES and (tag, role) != ("form", "form"):
+        return SURE if tag not in ("html", "body") else NOT
     if tag in ("html", "body", "main"):
-        return False
+        return NOT
+    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return SURE
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     for name in names.split():
-        words = _TOKENS.split(_CAMEL.sub("-", name).lower())
+        words = set(_TOKENS.split(_CAMEL.sub("-", name).lower())) - {""}
         if not SKIPPED_WORDS.isdisjoint(words) and _ONLY_LAYOUT.isdisjoint(words):
-            return True
-    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+            mark = max(mark, NAMED if words <= SKIPPED_WORDS or not _READERS.isdisjoint(words) else DOUBTED)
+    return mark
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -108,9 +121,13 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return tag + "".join("." + c for c in classes) + ("#" + name if name else "")
 
 
-def blocks(html: str) -> Iterator[tuple[Container, str, int, bool]]:
-    """The page's blocks in order: their container, text, characters in links, and whether a heading."""
-    top = here = owner = Container("", "", None, False, 0.1)
+def blocks(html: str, made: list[Container]) -> Iterator[tuple[Container, str, int, bool]]:
+    """The page's blocks in order: their container, text, characters in links, and whether a heading.
+
+    Blocks of boxes that are left out for sure are missing. ``made`` gets the containers as they open.
+    """
+    top = here = owner = Container("", "", None, NOT, 0.1)
+    made.append(top)
     depth: list[tuple[str, Container]] = []  # open containers and skipped elements
     text: list[str] = []
     linked, link, heading = 0, False, False
@@ -170,6 +187,15 @@ def blocks(html: str) -> Iterator[tuple[Container, str, int, bool]]:
             while depth and depth[-1][0] == "p":  # a skipped paragraph ends with the next block
                 depth.pop()
                 here = depth[-1][1] if depth else top
+        if tag in _ENDS and not closing:
+            ends, scope, first = _ENDS[tag], _SCOPE[tag], len(depth)
+            for i in range(len(depth) - 1, -1, -1):
+                if depth[i][0] in scope and depth[i][0] != tag:
+                    break
+                if depth[i][0] in ends:
+                    first = i
+            del depth[first:]
+            here = depth[-1][1] if depth else top
         if closing:
             for i in range(len(depth) - 1, -1, -1):
                 if depth[i][0] == tag:
@@ -180,24 +206,73 @@ def blocks(html: str) -> Iterator[tuple[Container, str, int, bool]]:
         if tag in VOID:
             continue
         attributes = _attributes(found[3])
-        skipped = here.skipped or _is_boilerplate(tag, attributes)
+        mark = NOT if here.skipped else _boilerplate(tag, attributes)
         if tag in CONTAINERS:
             weight = _SEMANTIC.get(tag, 1.0)
             if attributes.get("role", "") == "main" or attributes.get("itemprop", "") == "articleBody":
                 weight = 3.0
-            here = Container(tag, _step(tag, attributes), here, skipped, weight)
+            here = Container(tag, _step(tag, attributes), here, mark, weight)
+            made.append(here)
             depth.append((tag, here))
-        elif skipped and not here.skipped:
-            here = Container(tag, tag, here, True, 0.0)  # left out of the block around it
+        elif mark:
+            here = Container(tag, tag, here, SURE, 0.0)  # left out of the block around it
+            made.append(here)
             depth.append((tag, here))
     if done := flush():
         yield done
 
 
+def _resolve(found: list[tuple[Container, str, int, bool]], made: list[Container]) -> None:
+    """Which of the marked boxes are left out.
+
+    A box of a marked kind stays if it is or holds an article or main and the text outside marked boxes has
+    none; a doubted one also if it holds half of the page's text. If nothing would be left, the doubted boxes
+    stay, or else the named ones.
+    """
+    if not any(box.mark in (DOUBTED, NAMED) for box in made):
+        return
+    for box, text, *_ in found:
+        box.size += len(text)
+    free, inside, within = 0, {}, {}
+    for box in made:  # parents come before what they hold
+        up = box.parent
+        inside[box] = box.mark != NOT or up is not None and inside[up]
+        within[box] = box.tag in MAIN or up is not None and within[up]
+        if within[box] and not inside[box]:
+            free += box.size
+    for box in reversed(made):
+        if box.parent is not None:
+            box.parent.size += box.size
+    total = made[0].size
+    mains = [box for box in made if box.tag in MAIN and box.size and not box.skipped]
+    for box in mains:
+        sole = box.tag == "main" or len(mains) == 1
+        up = box
+        while up is not None:
+            if up.mark in (DOUBTED, NAMED) and (sole or 2 * up.size >= total) and (
+                    box.tag == "main" or free == 0 or up.mark == DOUBTED and 4 * free < total):
+                up.mark = NOT
+            up = up.parent
+    for box in made:
+        if box.mark == DOUBTED and 2 * box.size >= total and 4 * free < total:
+            box.mark = NOT
+    for kind in (None, DOUBTED, NAMED):
+        for box in made:
+            if box.mark == kind:
+                box.mark = NOT
+            box.skipped = box.mark != NOT or box.parent is not None and box.parent.skipped
+        if any(not box.skipped for box, *_ in found):
+            return
+
+
 def scored(html: str) -> tuple[list[tuple[Container, str]], dict[int, Container]]:
     """The page's blocks, and its containers with their scores."""
-    page, containers = [], {}
-    for box, text, linked, heading in blocks(html):
+    page, containers, made = [], {}, []
+    found = list(blocks(html, made))
+    _resolve(found, made)
+    for box, text, linked, heading in found:
+        if box.skipped:
+            continue
         page.append((box, text))
         worth = max(0.0, len(text) - 1.5 * linked)
         share = 1.0

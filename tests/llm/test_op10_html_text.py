@@ -67,3 +67,24 @@ def test_the_host_outvotes_a_page(spark):
     story = "the story of page {} as told here"
     assert ours == sorted([(i, story.format(i)) for i in (0, 1, 2, 3, 4, 5, 5, 7)] + [(6, LONG), (8, ""), (9, "")])
     assert html_text.main_text(df.limit(0)).count() == 0
+
+
+STORY = "<p>The whole story of the day is told here.</p>"
+TOLD = "The whole story of the day is told here."
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><div class='content-sidebar-wrap'><main><article>" + STORY + "</article></main></div>", TOLD),
+    ("<body><div class='layout-sidebar-right'>" + STORY + "</div><div class=foot-note>c</div>", TOLD),
+    ("<body><article class='post comments-open'>" + STORY + "</article>", TOLD),
+    ("<body><article class=promo>" + STORY + "</article><p>x</p>", TOLD),
+    ("<body><form id=aspnetForm method=post><input name=a><div class=page>" + STORY + "</div></form>", TOLD),
+    ("<body><div class=cookie-banner><div>" + STORY + "</div></div>", TOLD),
+    ("<body><div class=post>" + STORY + "<form>search</form><div class=widget-area><p>other</p></div></div>", TOLD),
+    (f"<body><article>{STORY}<section id=comments><article class=x><p>{'long talk ' * 30}</p></article></section></article>", TOLD),
+    (f"<body><article>{STORY}</article><div class=related-posts><article>teaser</article><article>two</article></div>", TOLD),
+    ("<article><p>a</p><ul><li>one<li class=ad>buy<li>two</ul><dl><dt class=promo>p<dd>d</dl></article>", "a\none\ntwo\nd"),
+    ("<article><table><tr><td class=ad>buy<td>b<tr><td>c</table><p>e</p></article>", "b\nc\ne"),
+])
+def test_what_holds_the_main_text_stays(page, text):
+    assert html_text.extract(page, None) == text
