@@ -3,6 +3,8 @@
 Each page's containers are scored by the text of their blocks, less links and
 more where the markup says article or main. The page's best containers vote, by
 share of the page's score, for their path: tags with classes, numbers taken out.
+The best one is first widened to the boxes around it that add text but no lists
+of links, and its own parts do not vote.
 Spark counts the votes of each host, and every page is extracted again from the
 containers on its host's winning path; a page that has none there uses its own
 best container. Within a container menus, headers, footers, sidebars, notices,
@@ -265,7 +267,7 @@ def _resolve(found: list[tuple[Container, str, int, bool]], made: list[Container
             return
 
 
-def scored(html: str) -> tuple[list[tuple[Container, str]], dict[int, Container]]:
+def scored(html: str) -> tuple[list[tuple[Container, str, int]], dict[int, Container]]:
     """The page's blocks, and its containers with their scores."""
     page, containers, made = [], {}, []
     found = list(blocks(html, made))
@@ -273,7 +275,7 @@ def scored(html: str) -> tuple[list[tuple[Container, str]], dict[int, Container]
     for box, text, linked, heading in found:
         if box.skipped:
             continue
-        page.append((box, text))
+        page.append((box, text, linked))
         worth = max(0.0, len(text) - 1.5 * linked)
         share = 1.0
         while box is not None and box.tag and share > FAINTEST:
@@ -285,15 +287,61 @@ def scored(html: str) -> tuple[list[tuple[Container, str]], dict[int, Container]
     return page, containers
 
 
+def _widened(best: Container, page: list[tuple[Container, str, int]]) -> Container:
+    """The outermost box around ``best`` below the body whose other text is no list of links and no more than what it has.
+
+    An article or main is whole by itself.
+    """
+    around, box = [best], best
+    while box.tag not in WHOLE and box.parent is not None and box.parent.tag not in ("", "html", "body"):
+        box = box.parent
+        around.append(box)
+    if len(around) == 1:
+        return best
+    level: dict[Container, int | None] = {box: i for i, box in enumerate(around)}
+    texts, links = [0] * len(around), [0] * len(around)
+    for box, text, linked in page:
+        seen = []
+        while box is not None and box not in level:
+            seen.append(box)
+            box = box.parent
+        at = level[box] if box is not None else None
+        level.update(dict.fromkeys(seen, at))
+        if at is not None:
+            texts[at] += len(text)
+            links[at] += linked
+    own, chosen = texts[0], best
+    for box, text, linked in zip(around[1:], texts[1:], links[1:]):
+        if 2 * linked > text or text > own:
+            break
+        if text:
+            own, chosen = own + text, box
+    return chosen
+
+
 def votes(html: str) -> list[tuple[str, int]]:
     """The paths of the page's best containers with their shares in thousandths."""
-    _, containers = scored(html)
-    best = max((c.score for c in containers.values()), default=0.0)
+    page, containers = scored(html)
+    top = max(containers.values(), key=lambda c: c.score, default=None)
     shares: dict[str, int] = {}
-    if best > 0:
+    if top is not None and top.score > 0:
+        best, whole = top.score, _widened(top, page)
+        parts, box = {whole}, top
+        while box is not whole:
+            parts.add(box)
+            box = box.parent
+        if whole is not top:  # whatever is in the widened box
+            for c in containers.values():
+                seen, box = [], c
+                while box is not None and box not in parts:
+                    seen.append(box)
+                    box = box.parent
+                if box is not None:
+                    parts.update(seen)
+            shares[whole.path()] = 1000
         for c in containers.values():
             share = int(1000 * c.score / best)
-            if share >= LEAST_SHARE:
+            if share >= LEAST_SHARE and (whole is top or c not in parts):
                 path = c.path()
                 shares[path] = max(share, shares.get(path, 0))
     return list(shares.items())
@@ -314,6 +362,7 @@ def extract(html: str, path: str | None) -> str:
             box = box.parent
             if box.heading:
                 chosen = [box]
+        chosen = [_widened(chosen[0], page)]
     inside = {id(c): True for c in chosen}
 
     def is_inside(box: Container | None) -> bool:
@@ -326,8 +375,8 @@ def extract(html: str, path: str | None) -> str:
         return found
 
     if not containers:
-        return "\n".join(text for _, text in page)
-    return "\n".join(text for box, text in page if is_inside(box))
+        return "\n".join(text for _, text, _ in page)
+    return "\n".join(text for box, text, _ in page if is_inside(box))
 
 
 def host(url) -> F.Column:

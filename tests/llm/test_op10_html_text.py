@@ -88,3 +88,26 @@ TOLD = "The whole story of the day is told here."
 ])
 def test_what_holds_the_main_text_stays(page, text):
     assert html_text.extract(page, None) == text
+
+
+SIXTY, FORTY = "sixty " * 20, "forty " * 13
+
+
+@pytest.mark.parametrize("page, parts", [
+    ("<body><div class=post><div class=lead><h1>T</h1><p>{0}</p></div><div class=rest><p>{1}</p></div></div>", "T {0} {1}"),
+    ("<body><main><div><section class=intro><h2>T</h2>{0}</section><section class=details>{1}</section></div></main>", "T {0} {1}"),
+    ("<body><div class=post><p>{1}</p><ul><li>{0}</ul></div>", "{1} {0}"),
+    ("<body><div class=post><p>{1}</p><table><tr><td>{0}</table></div>", "{1} {0}"),
+    ("<body><div class=post><blockquote><p>{0}</p></blockquote><p>{1}</p></div>", "{0} {1}"),
+    ("<body><div class=page><div class=post><h1>T</h1><p>{0}</p></div><div class=more><a href=x>{1}</a></div></div>", "T {0}"),
+])
+def test_the_box_is_widened_to_the_whole_article(spark, page, parts):
+    html = page.format(SIXTY, FORTY)
+    expected = parts.format(SIXTY, FORTY).split()
+    assert html_text.extract(html, None).split() == expected
+    swapped = page.format(FORTY, SIXTY)
+    rows = [(0, "http://a.example/0", html), (1, "http://a.example/1", html), (2, "http://a.example/2", swapped)]
+    found = {r.page_id: r.text.split() for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[0] == found[1] == expected
+    if "<a " not in page:
+        assert found[2] == parts.format(FORTY, SIXTY).split()
