@@ -90,7 +90,7 @@ ORACLE_SQL["op7_mixing"] = mixing.sql()
 @query
 def op8_training_order(spark, sf_dir):
     model = sentencepiece_codec.read_model(PIECES)
-    return training_order.in_training_order(table(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
+    return training_order.through_shards(table(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
 
 
 @query

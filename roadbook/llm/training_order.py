@@ -23,6 +23,7 @@ gives no sequence and no shard; columns other than id and text are not looked at
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from roadbook.llm.common import Scratch, ship
 from roadbook.llm.sentencepiece_codec import chunks, codec
+from roadbook.session import shared_folder
 
 LENGTH, SHARD = 512, 4096
 HEAD, TAIL = 16, 1
@@ -167,3 +169,21 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH, shard: int
 
     return files.select(F.col("shard").cast("long"), "content").mapInArrow(
         work, "slot long, id long, part int, n_tokens int, tokens binary")
+
+
+def through_shards(df: DataFrame, model: bytes, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+                   length: int = LENGTH, shard: int = SHARD, key: int = KEY) -> DataFrame:
+    """The columns of ``in_training_order``, as the shard files hold them that this writes.
+
+    They stay, under ``path`` or else in a folder of their own in the shared one.
+    """
+    spark = df.sparkSession
+    ordered = in_training_order(df, model, id_col, text_col, length, shard, key)
+    if df.isEmpty():
+        return ordered
+    path = path or f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(ordered, path)
+    stride = HEAD + 2 * length + TAIL
+    return read_shards(spark, path, length, shard).select(
+        "slot", F.floor(F.col("slot") / shard).alias("shard"), (F.col("slot") % shard * stride).alias("offset"),
+        "id", "part", "n_tokens", "tokens")

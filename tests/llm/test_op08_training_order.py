@@ -67,3 +67,24 @@ def test_files_round_trip_and_resume(spark, strange, library, tmp_path):
 
 def test_empty(spark, strange):
     assert to.in_training_order(strange.limit(0), read_model(PIECES)).count() == 0
+
+
+def test_query_returns_what_its_shards_hold(spark, documents, monkeypatch):
+    paths, write = [], to.write_shards
+    monkeypatch.setattr(to, "write_shards", lambda ordered, path: (paths.append(path), write(ordered, path)))
+    frame = QUERIES["op8_training_order"](spark, TINY)
+    rows = {r.slot: (r.shard, r.offset, r.doc_id, r.part, r.n_tokens, bytes(r.tokens)) for r in frame.collect()}
+    ordered = to.in_training_order(documents, read_model(PIECES))
+    assert [t for _, t in frame.dtypes] == [t for _, t in ordered.dtypes] and frame.columns == ["slot", "shard", "offset", "doc_id", *ordered.columns[4:]]
+    assert {r.slot: (r.shard, r.offset, r.id, r.part, r.n_tokens, bytes(r.tokens)) for r in ordered.collect()} == rows
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths[0]).select("shard", "content").collect()
+    contents, stride = {f.shard: bytes(f.content) for f in files}, to.HEAD + 2 * to.LENGTH + to.TAIL
+    assert len(files) == len(contents) and sum(map(len, contents.values())) == stride * len(rows)
+    for shard, offset, doc_id, part, n_tokens, tokens in rows.values():
+        record = contents[shard][offset: offset + stride]
+        assert record[:16] == doc_id.to_bytes(8, "little") + part.to_bytes(4, "little") + n_tokens.to_bytes(4, "little")
+        assert record[16:-1] == tokens
+
+
+def test_no_documents_no_shards(spark, documents):
+    assert to.through_shards(documents.limit(0), read_model(PIECES)).count() == 0
