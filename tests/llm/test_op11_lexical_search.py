@@ -1,0 +1,155 @@
+"""Operator 11 against SQL, and against scoring every document."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from compare import connect, difference
+
+from roadbook.llm import lexical_search as search
+from roadbook.llm.queries import ORACLE_SQL, QUERIES
+
+from .conftest import TEXTS, TINY
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain(documents, queries, k=10):
+    """``(query id, rank, doc id, score)`` by scoring every document for every query."""
+    counted = [(i, Counter(terms(t))) for i, t in documents]
+    counted = [(i, c, sum(c.values())) for i, c in counted if c]
+    n, all_terms = len(counted), sum(length for *_, length in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = []
+    for query, text in {(q, t) for q, t in queries}:
+        found = []
+        for i, c, length in counted:
+            slack = 100 - 75 + (75 * length * n) // all_terms
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * slack))
+                        for t in terms(text) if c[t])
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(query, rank + 1, i, -s) for rank, (s, _, _, i) in enumerate(sorted(found, key=lambda f: f[:3])[:k])]
+    return sorted(out, key=str)
+
+
+def ours(spark, documents, queries, k=10):
+    docs = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in documents], "doc_id long, text string, term string, shard int, score int")
+    asked = spark.createDataFrame([(i, t, 3) for i, t in queries], "item_id long, text string, query int")
+    found = search.search(search.build_index(docs.repartition(3)), asked, k=k)
+    assert found.columns == ["query_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, found.collect()), key=str)
+
+
+def test_query_equals_sql(spark):
+    assert difference(QUERIES["op11_lexical_search"](spark, TINY), connect(TINY), ORACLE_SQL["op11_lexical_search"]) is None
+
+
+def some_texts(seed, n):
+    rng = random.Random(seed)
+    words = [f"w{int(rng.paretovariate(0.9))}" for _ in range(4000)]
+    return [(i, " ".join(rng.choices(words, k=int(rng.paretovariate(0.8)) + 1 if i % 9 else 0))) for i in range(n)]
+
+
+def test_strange_texts(spark):
+    documents = list(enumerate(TEXTS)) + [(7, TEXTS[5]), (None, "no id and the same words"), (None, "one")]
+    documents += [(100 + i, "tie tie breaks") for i in range(14)][::-1]
+    queries = list(enumerate(TEXTS)) + [(4, TEXTS[4]), (None, "same words"), (50, "TIE tie Breaks x"), (51, "漢字é MIXED 😀"), (52, "-- !!")]
+    queries = [(i, t if t is None or len(t) < 9000 else "word x " * 50) for i, t in queries]
+    assert ours(spark, documents, queries) == plain(documents, queries)
+
+
+def test_random_texts_and_few_best(spark):
+    documents, rng = some_texts(1, 300), random.Random(2)
+    queries = [(q, " ".join(rng.choice(documents)[1].split()[:12] + [f"w{rng.randint(1, 40)}"])) for q in range(30)]
+    assert ours(spark, documents, queries, k=3) == plain(documents, queries, k=3)
+
+
+def test_empty_tables(spark):
+    assert ours(spark, [], [(1, "a")]) == [] and ours(spark, [(1, "a b")], []) == []
+    assert ours(spark, [(1, None), (2, " ")], [(1, "a")]) == []
+
+
+def local(documents, queries, k, shards):
+    """The same in this process: index rows of so many shards, searched one by one, and how many blocks were unpacked."""
+    size = -(-len(documents) // shards)
+    indexes = [search._shard(i, pa.array([d for d, _ in part], pa.int64()), pa.array([t for _, t in part], pa.string()))
+               for i, part in enumerate(documents[a:a + size] for a in range(0, len(documents), size))]
+    n, all_terms = (sum(x.column(c)[0].as_py() for x in indexes) for c in (2, 3))
+    df = Counter()
+    for index in indexes:
+        for term, count in zip(index["term"].to_pylist(), index["df"].to_pylist()):
+            df[term] += count
+    opened = blocks = 0
+    found: dict = {}
+    for index in indexes:
+        rows = {r["term"]: r for r in index.to_pylist()}
+        shard = search._Shard(rows[None]["bounds"], rows[None]["postings"], n, all_terms)
+        for query, text in queries:
+            asked = [(t, c) for t, c in Counter(terms(text)).items() if t in rows]
+            lists = [search._List(rows[t]["df"], rows[t]["bounds"], rows[t]["postings"], shard) for t, _ in asked]
+            weight = np.array([c * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) for t, c in asked], np.int64)
+            if not lists:
+                continue
+            docs, scores = shard.best(lists, weight, k)
+            found.setdefault(query, []).extend(zip((-scores).tolist(), shard.ids[docs].tolist()))
+            opened += sum(len(x.unpacked) for x in lists)
+            blocks += sum(len(x.first) for x in lists)
+    out = [(q, r + 1, d, -s) for q, hits in found.items() for r, (s, d) in enumerate(sorted(hits)[:k])]
+    return sorted(out, key=str), opened, blocks
+
+
+@pytest.mark.parametrize("block,window,shards", [(2, 5, 1), (4, 64, 3), (128, 2048, 2)])
+def test_small_blocks_and_windows(monkeypatch, block, window, shards):
+    monkeypatch.setattr(search, "BLOCK", block)
+    monkeypatch.setattr(search, "WINDOW", window)
+    documents, rng = some_texts(block, 250), random.Random(block)
+    queries = [(q, " ".join(rng.choice(documents)[1].split()[:20] + [f"w{rng.randint(1, 9)}"])) for q in range(25)]
+    assert local(documents, queries, 4, shards)[0] == plain(documents, queries, 4)
+
+
+def test_blocks_that_cannot_win_stay_packed(monkeypatch):
+    """A rare term decides the query; most blocks of the common ones are never unpacked."""
+    monkeypatch.setattr(search, "WINDOW", 64)
+    monkeypatch.setattr(search, "BLOCK", 16)
+    rng = random.Random(5)
+    documents = [(i, "common " * rng.randint(1, 3) + f"other{i % 50} " + ("rare rare rare" if i % 80 == 7 else "x y z")) for i in range(4000)]
+    queries = [(1, "rare rare common other7")]
+    got, opened, blocks = local(documents, queries, 10, 1)
+    assert got == plain(documents, queries) and opened < blocks / 3
+
+
+def test_wide_numbers():
+    """Documents and counts beyond a byte, and beyond two, come back as they were."""
+    documents = [(i, "a" if i % 70_000 else "a b b") for i in range(140_100)] + [(200_000, "a " * 70_000), (200_001, "b " * 300)]
+    rows = {r["term"]: r for r in search._shard(0, pa.array([d for d, _ in documents]), pa.array([t for _, t in documents])).to_pylist()}
+    shard = search._Shard(rows[None]["bounds"], rows[None]["postings"], 1000, 10_000)
+    for term in "ab":
+        got = search._List(rows[term]["df"], rows[term]["bounds"], rows[term]["postings"], shard)
+        docs, worth = got.within(0, len(documents))
+        expected = {d: search.impact(t.split().count(term), int(shard.slack[np.flatnonzero(shard.ids == d)[0]]))
+                    for d, t in documents if d % 70_000 == 0 or d >= 200_000 if term in t.split()}
+        have = dict(zip(shard.ids[docs].tolist(), worth.tolist()))
+        assert len(have) == sum(term in t.split() for _, t in documents[-3:]) + sum(term in t for _, t in documents[:-3])
+        assert {d: have[d] for d in expected} == expected
+
+
+def test_shards_hold_bounded_text(spark):
+    """Rows beyond a shard's bytes begin the next one; one longer text is a shard by itself."""
+    long = "word " * (search.SHARD_BYTES // 5 + 10)
+    docs = spark.createDataFrame([(1, "a b"), (2, long), (3, "a c"), (4, "b")], "doc_id long, text string").coalesce(1)
+    index = search.build_index(docs)
+    held = sorted((r.shard, r.df) for r in index.where("term is null").collect())
+    assert [n for _, n in held] == [1, 1, 2] and search.statistics(index) == (4, len(long.split()) + 5)
