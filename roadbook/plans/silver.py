@@ -18,9 +18,7 @@ TRIP_ORDER = ["event_ts", "event_id", "lat", "lon"]
 
 def lag_features(gps: DataFrame) -> DataFrame:
     """Each ping with the position and time of the one before it that day."""
-    hour = F.date_trunc("hour", F.col("event_ts"))
-    return with_previous(gps, TRIP_KEYS, TRIP_ORDER, ["lat", "lon", "event_ts"],
-                         hour).withColumnRenamed("prev_event_ts", "prev_ts")
+    return with_previous(gps, TRIP_KEYS, TRIP_ORDER, ["lat", "lon", "event_ts"]).withColumnRenamed("prev_event_ts", "prev_ts")
 
 
 def segment_distance() -> Column:
