@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook.schemas import TABLES
+from roadbook.sources import multiline
 
 CORRUPT = "_bad"
 
@@ -68,19 +69,27 @@ def require_landed(spark: SparkSession, root: str, batch_date: str | None,
 
 def read_landed(spark: SparkSession, root: str, table: str,
                 batch_date: str | None = None) -> DataFrame:
-    """All text columns plus ``_bad`` and ``date``; one partition, or the whole table."""
+    """All text columns plus ``_bad`` and ``date``; one partition, or the whole table.
+
+    A table whose text may hold newlines is put together from lines, so that many tasks read one file.
+    """
+    folder, base = landing_folder(root, table, batch_date), landing_folder(root, table)
+    if TABLES[table].multiline:
+        rows = multiline.split_rows(multiline.read_lines_of(spark, folder, base, ("date",)), ("date",))
+        return read_lines(multiline.without_header(rows).withColumnRenamed("row", "line"), table, "date")
     reader = spark.read.schema(TABLES[table].string_schema(CORRUPT)).options(**csv_options(table))
-    reader = reader.option("basePath", landing_folder(root, table))
-    return reader.csv(landing_folder(root, table, batch_date))
+    return reader.option("basePath", base).csv(folder)
 
 
-def read_lines(lines: DataFrame, table: str) -> DataFrame:
+def read_lines(lines: DataFrame, table: str, *keep: str) -> DataFrame:
     """A column ``line`` of a table's file lines, read as the file would be; for text that comes by other ways."""
-    options = {k: v for k, v in csv_options(table).items() if k not in ("header", "enforceSchema", "columnPruning", "multiLine")}
+    options = {k: v for k, v in csv_options(table).items() if k not in ("header", "enforceSchema", "columnPruning")}
+    if TABLES[table].multiline:
+        options["lineSep"] = "\n"  # known, not to be found out from each row
     schema = TABLES[table].string_schema(CORRUPT)
     row = F.from_csv("line", schema.toDDL(), options)
     # inline makes the row a value, as in a file, not an expression each use repeats
-    return lines.select(F.inline(F.array(row)))
+    return lines.select(F.inline(F.array(row)), *keep)
 
 
 def landed_dates(spark: SparkSession, root: str, table: str) -> list[str]:
