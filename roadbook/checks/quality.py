@@ -38,10 +38,15 @@ def _fails_row_checks(checks: Checks, kinds: Iterable[str]) -> list[tuple[str, s
 Part = tuple[str, Checks, Column]  # a table's name and checks, and which rows of the frame are its own
 
 
+def row_conditions(parts: list[Part], kinds: Iterable[str] = ROW_KINDS) -> list[tuple[str, str, str, Column]]:
+    """Each row check of a frame, and of tables that are some of its rows: table, check, column, which rows fail."""
+    return [(table, check, column, own & fails) for table, checks, own in parts
+            for check, column, fails in _fails_row_checks(checks, kinds)]
+
+
 def row_checks(df: DataFrame, parts: list[Part], kinds: Iterable[str] = ROW_KINDS) -> DataFrame | None:
     """All row checks of a frame, and of tables that are some of its rows, in one pass."""
-    conditions = [(table, check, column, own & fails) for table, checks, own in parts
-                  for check, column, fails in _fails_row_checks(checks, kinds)]
+    conditions = row_conditions(parts, kinds)
     if not conditions:
         return None
     return df.agg(F.array(*[
@@ -65,16 +70,21 @@ def unique_checks(df: DataFrame, parts: list[Part]) -> list[DataFrame]:
     return found
 
 
+def parts_of(table: str, registry: Mapping[str, Checks] = CHECKS, views: Mapping[str, tuple[str, Column]] | None = None) -> list[Part]:
+    """A table's checks, and those of its views, each over its own rows."""
+    parts = [(table, registry.get(table, Checks()), F.lit(True))]
+    return parts + [(view, registry.get(view, Checks()), F.coalesce(own, F.lit(False)))
+                    for view, (of, own) in (views or {}).items() if of == table]
+
+
 def report(tables: Mapping[str, DataFrame], kinds: Iterable[str] = ALL_KINDS,
            registry: Mapping[str, Checks] = CHECKS,
            views: Mapping[str, tuple[str, Column]] | None = None) -> DataFrame:
     """``views`` names tables that are some rows of another one: they are checked in its passes."""
-    kinds, views = set(kinds), views or {}
+    kinds = set(kinds)
     results = []
     for table, df in tables.items():
-        parts = [(table, registry.get(table, Checks()), F.lit(True))]
-        parts += [(view, registry.get(view, Checks()), F.coalesce(own, F.lit(False)))
-                  for view, (of, own) in views.items() if of == table]
+        parts = parts_of(table, registry, views)
         rows = row_checks(df, parts, kinds)
         if rows is not None:
             results.append(rows)
@@ -100,9 +110,9 @@ class QualityGateFailed(RuntimeError):
     pass
 
 
-def gate(results: DataFrame) -> list:
+def gate(results: DataFrame | list) -> list:
     """Raise if any check failed; the report has one short row a declared check."""
-    rows = results.collect()
+    rows = results if isinstance(results, list) else results.collect()
     failed = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.failing_rows}"
               for r in rows if not r.passed]
     if failed:

@@ -12,17 +12,18 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.checks import quality
+from roadbook.checks import ledger, quality
+from roadbook.checks.ledger import among
 from roadbook.operators import staging
 from roadbook.operators.latest import latest_by
 from roadbook.plans import gold, silver
 from roadbook.schemas import TABLES
 from roadbook.sources.landing import has_files, landing_folder, require_landed
 from roadbook.sources.loader import BATCH, LoadResult, load_all, load_table, raw_table
-from roadbook.sources.warehouse import Warehouse
+from roadbook.sources.warehouse import Run, Warehouse
 from roadbook.streaming.incremental import new_batches
 
 log = logging.getLogger(__name__)
@@ -82,17 +83,14 @@ def _remember(warehouse: Warehouse, days: Days) -> Days:
     return days
 
 
-def _set_pending(warehouse: Warehouse, days: Days) -> None:
-    made = warehouse.run_folder()
-    made.write(warehouse.spark.createDataFrame([(d,) for d in days], "event_date date"), PENDING)
-    warehouse.publish(made, PENDING)
-    made.remove()
+def _write_pending(run: Run, days: Days) -> dict:
+    run.write(run.warehouse.spark.createDataFrame([(d,) for d in days], "event_date date").coalesce(1), PENDING)
+    return {PENDING: None}
 
 
-def _among(day: Column, days: Days) -> Column:
-    """Literal days prune the partitions of the scan."""
-    wanted = day.isin([d for d in days if d is not None])
-    return F.coalesce(wanted | day.isNull() if None in days else wanted, F.lit(False))
+def _set_pending(warehouse: Warehouse, days: Days) -> None:
+    run = warehouse.begin()
+    warehouse.publish(run, _write_pending(run, days))
 
 
 # silver and gold tables, each with the column that it is stored by and rebuilt by
@@ -109,73 +107,128 @@ def _months(days: Days) -> Days:
     return list(dict.fromkeys(d and d.replace(day=1) for d in days))
 
 
+SEGMENTS = "silver.int_route_segments"
+
+
 def _merged(warehouse: Warehouse, made: DataFrame, name: str, values: Days | None) -> DataFrame:
     """A table as it will be once ``made`` is published."""
     column = PARTS[name]
     if values is None or column is None or not warehouse.exists(name):
         return made
-    published = warehouse.spark.read.schema(made.schema).parquet(warehouse.path(name))
-    return published.where(~_among(F.col(column), values)).unionByName(made)
+    return warehouse.read(name).where(~among(F.col(column), values)).unionByName(made)
 
 
-def build(warehouse: Warehouse, made: Warehouse, as_of: date, days: Days | None = None,
-          latest_dimensions: bool = False) -> dict[str, DataFrame]:
-    """Silver and gold for the given days, or for all, in a run's folder.
+@dataclass(frozen=True)
+class Build:
+    """What a run has made: each table's own rows, as it will be published, and what its row checks counted."""
 
-    Returns the tables as they will be published: the run's rows with the rest.
-    """
+    written: dict[str, DataFrame]
+    merged: dict[str, DataFrame]
+    checks: list
+
+
+def replaced_values(days: Days | None) -> dict[str, Days | None]:
+    """For each table the values that a run of these days replaces."""
+    months = None if days is None else _months(days)
+    return {n: None if c is None else months if c == "month" else days for n, c in PARTS.items()}
+
+
+def build(warehouse: Warehouse, run: Run, as_of: date, days: Days | None = None,
+          latest_dimensions: bool = False) -> Build:
+    """Silver and gold for the given days, or for all, written by a run; row checks are counted on the way."""
     stg = staged(raw_tables(warehouse, latest_dimensions))
     gps = stg["stg_gps_events"]
-    months = None if days is None else _months(days)
-    values = {n: months if c == "month" else days for n, c in PARTS.items()}
-    out: dict[str, DataFrame] = {}
+    values = replaced_values(days)
+    made = Build({}, {}, [])
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        written = made.write(df, name, *filter(None, [PARTS[name]]))
-        out[name] = _merged(warehouse, written, name, values[name])
+        parts = quality.parts_of(name)
+        written, counted = run.write_counted(df, name, ledger.counts_of(parts), *filter(None, [PARTS[name]]))
+        made.checks.extend(ledger.results_of(parts, counted))
+        made.written[name] = written
+        made.merged[name] = _merged(warehouse, written, name, values[name])
         return written
 
     # written once, read by both roll-ups
-    segments = put("silver.int_route_segments", silver.int_route_segments(
-        gps if days is None else gps.where(_among(F.col("event_date"), days)), stg["stg_routes"]))
+    segments = put(SEGMENTS, silver.int_route_segments(
+        gps if days is None else gps.where(among(F.col("event_date"), days)), stg["stg_routes"]))
     put("gold.mart_route_efficiency", gold.mart_route_efficiency(segments))
     put("silver.int_vehicle_daily_stats", silver.int_vehicle_daily_stats(segments))
-    daily = out["silver.int_vehicle_daily_stats"]
-    if months is not None:
-        daily = daily.where(_among(F.trunc("event_date", "MM"), months))
+    daily = made.merged["silver.int_vehicle_daily_stats"]
+    if days is not None:
+        daily = daily.where(among(F.trunc("event_date", "MM"), _months(days)))
     put("gold.mart_driver_performance", gold.mart_driver_performance(daily, stg["stg_vehicles"]))
     put("gold.mart_fleet_health", gold.mart_fleet_health(stg["stg_vehicles"], stg["stg_maintenance"], as_of))
-    return out
+    return made
 
 
 MARTS = ("mart_route_efficiency", "mart_fleet_health", "mart_driver_performance")
 
 
 def marts(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name: warehouse.read(f"gold.{name}") for name in MARTS}
+    """The marts of one version: they belong together, also while a run publishes."""
+    now = warehouse.at()
+    return {name: now.read(f"gold.{name}") for name in MARTS}
 
 
 def check_inputs(warehouse: Warehouse, latest_dimensions: bool = False) -> list:
-    """Gate on the raw tables, and in the same passes on the staged views of them."""
-    raw = {f"raw.{t}": df for t, df in raw_tables(warehouse, latest_dimensions).items()}
-    return quality.gate(quality.report(raw, views=staging.views()))
+    """Gate on the raw tables and the staged views of them.
+
+    What a load has counted is taken from the ledger. Only tables that it does not know, and dimensions of
+    which just the newest rows count, are read.
+    """
+    now = warehouse.at()
+    collapsed = {f"raw.{t}" for t in DIMENSIONS} if latest_dimensions else set()
+    views = staging.views()
+    known = {s: quality.parts_of(s, views=views) for s in ledger.known_sources(now) if s.startswith("raw.") and s not in collapsed}
+    rows = ledger.report(now, known) if known else []
+    others = {f"raw.{t}": df for t, df in raw_tables(now, latest_dimensions).items()
+              if f"raw.{t}" not in known and f"raw.{t}" in quality.CHECKS}
+    if others:
+        rows += quality.report(others, views=views).collect()
+    return quality.gate(rows)
+
+
+UNCHECKED = "unchecked"  # a version's note: tables that were published without a gate
+
+
+def _unique(warehouse: Warehouse, run: Run, made: Build, days: Days | None) -> tuple[list, dict]:
+    """Uniqueness of what will be published: of segments by the days' keys, of the fleet by its one table."""
+    parts = quality.parts_of(SEGMENTS)
+    book = ledger.Ledger(warehouse, run)
+    found, tables = book.repeats(SEGMENTS, parts, made.written[SEGMENTS], "event_date", days)
+    tables |= book.record(SEGMENTS, {}, found, days)
+    for name in PARTS:
+        if name != SEGMENTS and quality.CHECKS[name].unique:  # a whole table, which the run has just written
+            for counted in quality.unique_checks(made.merged[name], quality.parts_of(name)):
+                found += [ledger.result(*r) for r in counted.collect()]
+    return found, tables
 
 
 def rebuild(warehouse: Warehouse, as_of: date, days: Days | None = None, latest_dimensions: bool = False,
             check: bool = True) -> list:
-    """Make silver and gold in a run's folder, check them there, and only then publish them."""
-    if not warehouse.exists("silver.int_route_segments"):
+    """Make silver and gold, check them, and only then publish them, all in one step.
+
+    The checks read what the run wrote, and of the rest of a table only keys that the run touched; the rest
+    was checked when it was published. Tables that were published without a check are read whole.
+    """
+    base = warehouse.at()
+    if not base.exists(SEGMENTS):
         days = None
-    made = warehouse.run_folder()
+    run = base.begin()
     try:
-        tables = build(warehouse, made, as_of, days, latest_dimensions)
-        checks = quality.gate(quality.report(tables)) if check else []
-        for name, column in PARTS.items():
-            values = None if days is None or column is None else _months(days) if column == "month" else days
-            warehouse.publish(made, name, column, values)
-        _set_pending(warehouse, [])
+        made = build(base, run, as_of, days, latest_dimensions)
+        unique, state = _unique(base, run, made, days)
+        checks = []
+        if check:
+            late = {n: made.merged[n] for n in base.version().notes.get(UNCHECKED, []) if made.merged[n] is not made.written[n]}
+            again = quality.report(late, quality.ROW_KINDS).collect() if late else []
+            checks = quality.gate([c for c in made.checks if c.table_name not in late] + again + unique)
+        tables = {**replaced_values(days), **state, **_write_pending(run, [])}
+        warehouse.publish(run, tables, base.version(), [*PARTS, *[n for n in state if n != ledger.COUNTS]],
+                          {UNCHECKED: [] if check else list(PARTS)})
     finally:
-        made.remove()
+        run.remove()
     return checks
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadbook.checks import ledger
+from roadbook.checks.quality import parts_of
 from roadbook.operators.rejects import REASON, parse
+from roadbook.operators.staging import views
 from roadbook.schemas import TABLES
 from roadbook.sources.landing import landed_dates, read_landed, require_landed
 from roadbook.sources.warehouse import Warehouse
@@ -39,6 +43,7 @@ def storable(landed: DataFrame, table: str) -> DataFrame:
         .withColumnRenamed("date", BATCH)
         .withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz"))
         .withColumn(STATUS, F.when(F.col(REASON).isNull(), "loaded").otherwise("rejected"))
+        .select(*stored_schema(table).names)
     )
 
 
@@ -62,18 +67,34 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
 
     Each loaded date replaces the whole of what the same date loaded before; dates
     that are no longer landed keep what they have. Running it twice changes
-    nothing, and a run that died half way is simply run again.
+    nothing, and a run that died half way is simply run again. Rows, rejects and the
+    failing rows of every check are counted while a date is written; the rows, their
+    counts and their keys are published as one version.
     """
-    made, name = warehouse.run_folder(), f"raw.{table}"
-    stored = made.write(storable(read_landed(spark, landing, table, batch_date), table),
-                        name, *partition_columns(table))
-    # counted from what was stored: partition values only, no column is read
-    counted = stored.groupBy(BATCH, STATUS).count().collect()
-    loaded = [batch_date] if batch_date else landed_dates(spark, landing, table)
-    warehouse.publish(made, name, BATCH, loaded)
-    made.remove()
-    total = lambda status: sum(r["count"] for r in counted if r[STATUS] == status)
-    return LoadResult(table, total("loaded"), total("rejected"))
+    base = warehouse.at()
+    run, name = base.begin(), f"raw.{table}"
+    batches = [date.fromisoformat(b) for b in ([batch_date] if batch_date else landed_dates(spark, landing, table))]
+    parts = parts_of(name, views=views())
+    loaded = F.col(STATUS) == "loaded"
+    rows = {"loaded": F.count_if(loaded), "rejected": F.count_if(~loaded)}
+    failing = ledger.counts_of(parts, loaded)
+    try:
+        stored, seen = run.write_counted(storable(read_landed(spark, landing, table, batch_date), table), name,
+                                         rows | (failing if len(batches) == 1 else {}), *partition_columns(table))
+        accepted = stored.where(loaded)
+        if len(batches) == 1:
+            by_unit = {str(batches[0]): ledger.results_of(parts, seen)}
+        else:  # counts taken while writing tell no batch from another: one more scan, of many dates at once only
+            counted = accepted.groupBy(BATCH).agg(*[c.alias(n) for n, c in failing.items()]).collect() if failing else []
+            by_unit = {ledger.unit_text(r[BATCH]): ledger.results_of(parts, r.asDict()) for r in counted}
+        book = ledger.Ledger(base, run)
+        repeated, kept = book.repeats(name, parts, accepted, BATCH, batches)
+        if repeated:
+            kept |= book.record(name, by_unit, repeated, batches)
+        warehouse.publish(run, {name: batches, **kept}, base.version(), [name, *[k for k in kept if k != ledger.COUNTS]])
+    finally:
+        run.remove()
+    return LoadResult(table, seen["loaded"], seen["rejected"])
 
 
 def load_all(spark: SparkSession, landing: str, warehouse: Warehouse,
@@ -89,8 +110,12 @@ def load_all(spark: SparkSession, landing: str, warehouse: Warehouse,
 
 
 def _stored(warehouse: Warehouse, table: str, status: str) -> DataFrame:
-    reader = warehouse.spark.read.schema(stored_schema(table))
-    return reader.parquet(warehouse.path(f"raw.{table}")).where(F.col(STATUS) == status)
+    name = f"raw.{table}"
+    if name in warehouse.version().tables:
+        stored = warehouse.read(name)
+    else:  # a streaming loader's folder
+        stored = warehouse.spark.read.schema(stored_schema(table)).parquet(warehouse.path(name))
+    return stored.where(F.col(STATUS) == status)
 
 
 def raw_table(warehouse: Warehouse, table: str) -> DataFrame:
