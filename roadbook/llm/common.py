@@ -32,6 +32,12 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its columns renamed ``c0, c1, …``, and the new name of each: a caller's names clash with none."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def workers(spark: SparkSession) -> int:
     """Shuffle partitions as the session sets them: how finely heavy Python work is dealt."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,10 @@ containers on its host's winning path; a page that has none there uses its own
 best container. Within a container menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are left out. A form, or a
 box with a listed word in its names, stays where it holds the page's main text:
-see ``_resolve``.
+see ``_resolve``. Beside a word that says what something is about (``share-price``,
+``related-work``) a listed word marks nothing, and among other words it never drops
+a heading, a paragraph or words in a line. Where the article stands directly in the
+body, loose text and boxes without a name around it go with it.
 
 Defined results: null and empty html give the empty text; a page without a
 usable url has no host and votes for itself alone; unfinished markup at the end
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import ship, type_of
+from roadbook.llm.common import Scratch, ship, type_of
 
 _TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -46,7 +49,7 @@ summary table tbody td tfoot th thead tr ul""".split())
 # Elements that hold blocks; the others of BLOCKS are blocks whose end tag may be missing.
 CONTAINERS = frozenset("""article aside blockquote body center details dialog div dl fieldset figure footer form header
 html main menu nav ol search section table td ul""".split())
-SKIPPED = frozenset("""aside button canvas datalist dialog fieldset footer form header input label menu nav noscript
+SKIPPED = frozenset("""aside button canvas datalist dialog footer form header input menu nav noscript
 object optgroup option search select svg template audio video""".split())
 SKIPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 # Words of a class or id that mark what is not the article.
@@ -56,6 +59,14 @@ navbar navigation newsletter notice notices notification outbrain overlay pager
 promotion recommended recommendations related reply replies respond share sharing sidebar sidebars signup skip social
 sponsor sponsored subscribe subscription taboola toolbar topbar widget widgets""".split())
 _ONLY_LAYOUT = frozenset("has no with without open closed".split())
+# Words that say where or how a box stands, not what it holds: beside one of them a listed word still marks a box.
+_PLACES = frozenset("""above after area areas before below block blocks body bottom box boxes btn btns button buttons card cards center
+col column columns container content desktop entries fixed float floating footer form global grid group head holder icon icons inline inner
+item items js label large layer left link links list lists location main mobile module modules outer page panel post posts primary right
+row section secondary site slot small sticky stories strip style text title top unit view wrap wrapper zone""".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What a heading's own class may say of it.
+_OF_HEADINGS = frozenset("header masthead banner".split())
 # Words that mark readers' text, in any name.
 _READERS = frozenset("comment comments disqus replies reply respond".split())
 MAIN = frozenset("article main".split())
@@ -70,27 +81,35 @@ _SEMANTIC = {"article": 3.0, "main": 2.0, "body": 0.7, "html": 0.1}
 FAINTEST = 2.0**-20
 # A page's vote goes to containers with at least this share of its best score, in thousandths.
 LEAST_SHARE = 250
-# A host's pages are dealt over so many places to meet its path: one host may have a third of all pages.
-SALTS = 32
+# A host with more than this part of all pages gets its path without a shuffle; there are fewer such hosts.
+LARGE_HOSTS = 1_000
 
 
 class Container:
     """An open element that holds blocks, or one whose content is left out."""
 
-    __slots__ = ("tag", "step", "parent", "skipped", "mark", "size", "score", "weight", "heading")
+    __slots__ = ("tag", "step", "parent", "skipped", "mark", "size", "score", "weight", "heading", "_path")
 
     def __init__(self, tag: str, step: str, parent: Container | None, mark: int, weight: float):
         self.tag, self.step, self.parent, self.mark, self.weight = tag, step, parent, mark, weight
         self.skipped = mark == SURE or parent is not None and parent.skipped  # for sure; others are resolved later
         self.size, self.score = 0, 0.0
         self.heading = False
+        self._path: str | None = None
 
     def path(self) -> str:
-        steps, box = [], self
-        while box is not None and box.tag:
-            steps.append(box.step)
-            box = box.parent
-        return "".join(f">{step}" for step in reversed(steps))
+        """Built once for the box around, which siblings share."""
+        if self.parent is None or not self.tag:
+            return ""
+        up = self.parent
+        if up._path is None:
+            steps, box = [], up
+            while box is not None and box.tag and box._path is None:
+                steps.append(box.step)
+                box = box.parent
+            before = box._path if box is not None and box._path is not None else ""
+            up._path = before + "".join(f">{step}" for step in reversed(steps))
+        return f"{up._path}>{self.step}"
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -111,8 +130,15 @@ def _boilerplate(tag: str, attributes: dict[str, str]) -> int:
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     for name in names.split():
         words = set(_TOKENS.split(_CAMEL.sub("-", name).lower())) - {""}
-        if not SKIPPED_WORDS.isdisjoint(words) and _ONLY_LAYOUT.isdisjoint(words):
-            mark = max(mark, NAMED if words <= SKIPPED_WORDS or not _READERS.isdisjoint(words) else DOUBTED)
+        listed = words & SKIPPED_WORDS
+        if tag in _HEADINGS:
+            listed -= _OF_HEADINGS
+        if listed and _ONLY_LAYOUT.isdisjoint(words):
+            others = {w for w in words - SKIPPED_WORDS if not w.isdigit()}
+            if not others or not _READERS.isdisjoint(words):
+                mark = max(mark, NAMED)
+            elif others <= _PLACES:  # another word says what the box is about: a price, a recipe, related work
+                mark = max(mark, DOUBTED)
     return mark
 
 
@@ -131,10 +157,24 @@ def blocks(html: str, made: list[Container]) -> Iterator[tuple[Container, str, i
     top = here = owner = Container("", "", None, NOT, 0.1)
     made.append(top)
     depth: list[tuple[str, Container]] = []  # open containers and skipped elements
+    opened: dict[str, int] = {}  # how many of each are open
     text: list[str] = []
     linked, link, heading = 0, False, False
     at, end = 0, len(html)
 
+    def close(first: int) -> Container:
+        """Close what was opened since; the box that is open then."""
+        for name, _ in depth[first:]:
+            opened[name] -= 1
+        del depth[first:]
+        return depth[-1][1] if depth else top
+
+    def open_(name: str, box: Container) -> Container:
+        made.append(box)
+        depth.append((name, box))
+        opened[name] = opened.get(name, 0) + 1
+        return box
+
     def flush() -> tuple[Container, str, int, bool] | None:
         joined = " ".join("".join(text).split()) if text else ""
         text.clear()
@@ -172,38 +212,37 @@ def blocks(html: str, made: list[Container]) -> Iterator[tuple[Container, str, i
         if tag == "br":
             text.append(" ")
             continue
-        if tag == "a":
-            link = not closing
+        if tag == "a":  # a place to jump to is no link
+            link = not closing and "href" in _attributes(found[3])
             continue
         if tag in RAW and not closing:
             stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             if not stop:
                 break
-            close = html.find(">", stop.end())
-            at = close + 1 if close >= 0 else end
+            after = html.find(">", stop.end())
+            at = after + 1 if after >= 0 else end
             continue
         if tag in BLOCKS:
             if done := flush():
                 yield done
             linked, heading = 0, not closing and tag in ("h1", "h2")
+            link = link and not closing  # a link that was left open ends with its block
             while depth and depth[-1][0] == "p":  # a skipped paragraph ends with the next block
-                depth.pop()
-                here = depth[-1][1] if depth else top
-        if tag in _ENDS and not closing:
+                here = close(len(depth) - 1)
+        if tag in _ENDS and not closing and any(opened.get(t) for t in _ENDS[tag]):
             ends, scope, first = _ENDS[tag], _SCOPE[tag], len(depth)
             for i in range(len(depth) - 1, -1, -1):
                 if depth[i][0] in scope and depth[i][0] != tag:
                     break
                 if depth[i][0] in ends:
                     first = i
-            del depth[first:]
-            here = depth[-1][1] if depth else top
+            here = close(first)
         if closing:
-            for i in range(len(depth) - 1, -1, -1):
-                if depth[i][0] == tag:
-                    del depth[i:]
-                    here = depth[-1][1] if depth else top
-                    break
+            if opened.get(tag):
+                first = len(depth) - 1
+                while depth[first][0] != tag:
+                    first -= 1
+                here = close(first)
             continue
         if tag in VOID:
             continue
@@ -213,13 +252,9 @@ def blocks(html: str, made: list[Container]) -> Iterator[tuple[Container, str, i
             weight = _SEMANTIC.get(tag, 1.0)
             if attributes.get("role", "") == "main" or attributes.get("itemprop", "") == "articleBody":
                 weight = 3.0
-            here = Container(tag, _step(tag, attributes), here, mark, weight)
-            made.append(here)
-            depth.append((tag, here))
-        elif mark:
-            here = Container(tag, tag, here, SURE, 0.0)  # left out of the block around it
-            made.append(here)
-            depth.append((tag, here))
+            here = open_(tag, Container(tag, _step(tag, attributes), here, mark, weight))
+        elif mark not in (NOT, DOUBTED):
+            here = open_(tag, Container(tag, tag, here, SURE, 0.0))  # left out of the block around it
     if done := flush():
         yield done
 
@@ -247,10 +282,12 @@ def _resolve(found: list[tuple[Container, str, int, bool]], made: list[Container
             box.parent.size += box.size
     total = made[0].size
     mains = [box for box in made if box.tag in MAIN and box.size and not box.skipped]
+    asked = set()
     for box in mains:
         sole = box.tag == "main" or len(mains) == 1
         up = box
-        while up is not None:
+        while up is not None and (up, sole, box.tag) not in asked:  # nested ones ask the boxes around them once
+            asked.add((up, sole, box.tag))
             if up.mark in (DOUBTED, NAMED) and (sole or 2 * up.size >= total) and (
                     box.tag == "main" or free == 0 or up.mark == DOUBTED and 4 * free < total):
                 up.mark = NOT
@@ -319,6 +356,34 @@ def _widened(best: Container, page: list[tuple[Container, str, int]]) -> Contain
     return chosen
 
 
+def _on_page(box: Container) -> bool:
+    return box.tag in ("", "html", "body")
+
+
+def _beside(chosen: list[Container], page: list[tuple[Container, str, int]]) -> list[Container]:
+    """What goes with boxes that stand directly in the body: text around them, and boxes without a name or of theirs.
+
+    Lists of links do not, nor anything beside an article or main.
+    """
+    if not chosen or any(c.tag in WHOLE or c.parent is None or not _on_page(c.parent) for c in chosen):
+        return []
+    steps = {c.step for c in chosen}
+    outer: dict[Container, Container] = {}
+    texts: dict[Container, list[int]] = {}
+    for box, text, linked in page:
+        seen, at = [], box
+        while at not in outer and not _on_page(at) and not _on_page(at.parent):
+            seen.append(at)
+            at = at.parent
+        at = outer.get(at, at)
+        outer.update(dict.fromkeys([*seen, at], at))
+        size = texts.setdefault(at, [0, 0])
+        size[0] += len(text)
+        size[1] += linked
+    return [box for box, (text, linked) in texts.items() if 2 * linked <= text and box not in chosen
+            and (_on_page(box) or box.step in steps or box.tag not in MAIN and box.step == box.tag)]
+
+
 def votes(html: str) -> list[tuple[str, int]]:
     """The paths of the page's best containers with their shares in thousandths."""
     page, containers = scored(html)
@@ -331,13 +396,13 @@ def votes(html: str) -> list[tuple[str, int]]:
             parts.add(box)
             box = box.parent
         if whole is not top:  # whatever is in the widened box
+            others: set[Container] = set()
             for c in containers.values():
                 seen, box = [], c
-                while box is not None and box not in parts:
+                while box is not None and box not in parts and box not in others:
                     seen.append(box)
                     box = box.parent
-                if box is not None:
-                    parts.update(seen)
+                (parts if box in parts else others).update(seen)
             shares[whole.path()] = 1000
         for c in containers.values():
             share = int(1000 * c.score / best)
@@ -363,11 +428,16 @@ def extract(html: str, path: str | None) -> str:
             if box.heading:
                 chosen = [box]
         chosen = [_widened(chosen[0], page)]
-    inside = {id(c): True for c in chosen}
+    loose = _beside(chosen, page)
+    inside = {id(c): True for c in chosen} | {id(c): True for c in loose}
+
+    around = {id(c) for c in loose if _on_page(c)}  # their own text, not all that they hold
 
     def is_inside(box: Container | None) -> bool:
+        if id(box) in around:
+            return True
         seen = []
-        while box is not None and id(box) not in inside:
+        while box is not None and (id(box) not in inside or id(box) in around):
             seen.append(id(box))
             box = box.parent
         found = box is not None and inside[id(box)]
@@ -407,11 +477,20 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     """``id_col, url_col, path, text``: the page's main text and its host's winning path."""
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                       host(F.col(url_col)).alias("host"))
-    paths = (winning_paths(pages).withColumnRenamed("host", "voter")
-             .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = pages.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
-    met = (F.col("host") == F.col("voter")) & (F.col("salt") == F.col("place"))
-    joined = salted.join(paths, met, "left").select("id", "url", "path", "html")
+    scratch = Scratch(df.sparkSession, "html")
+    paths = scratch.keep(winning_paths(pages)).withColumnRenamed("host", "voter")
+
+    # hosts with much of the pages, fewer than LARGE_HOSTS by their shares, meet their pages where those are read;
+    # the pages of the others are dealt by host
+    sizes = scratch.keep(pages.where("host is not null").groupBy(F.col("host").alias("large")).count())
+    least = (sizes.agg(F.sum("count")).first()[0] or 0) / LARGE_HOSTS
+    large = sizes.where(F.col("count") > least).select("large")
+    of_large = large.join(paths, F.col("large") == F.col("voter"), "left").select("large", "path")
+    here = pages.join(F.broadcast(of_large), F.col("host") == F.col("large"), "left").where("large is not null or host is null")
+    there = (pages.where("host is not null").join(F.broadcast(large), F.col("host") == F.col("large"), "left_anti")
+             .join(paths, F.col("host") == F.col("voter"), "left"))
+    columns = ["id", "url", "path", "html"]
+    joined = here.select(*columns).union(there.select(*columns))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

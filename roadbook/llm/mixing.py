@@ -24,7 +24,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import Scratch
+from roadbook.llm.common import Scratch, numbered
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -139,6 +139,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     def key(id_, source, size) -> Column:
         return F.md5(F.to_json(F.struct(id_.cast("string").alias("i"), source.cast("string").alias("s"), size.alias("n"))).cast("binary"))
 
+    wanted = df.columns
+    df, names = numbered(df)  # a caller's columns may have any names
+    id_col, text_col, source_col = names[id_col], names[text_col], names[source_col]
     placed = queue(df, id_col, text_col, source_col, **options)
     same = Window.partitionBy("__mix_of")
     dealt = (
@@ -155,7 +158,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
                       "__mix_rows": F.count(F.lit(1)).over(alike)}))
     match = (F.col("__mix_key") == F.col("__mix_of")) & (F.col("__mix_turn") % F.col("__mix_rows") == F.col("__mix_row"))
     return (rows.join(dealt, match).repartitionByRange("__mix_finish", "__mix_key")
-            .sortWithinPartitions("__mix_finish", "__mix_key").select(*df.columns))
+            .sortWithinPartitions("__mix_finish", "__mix_key").select(*df.columns).toDF(*wanted))
 
 
 def _in_sql(text: str) -> str:

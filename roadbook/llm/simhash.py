@@ -27,10 +27,10 @@ from itertools import islice, product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import Scratch, ship, type_of, workers
+from roadbook.llm.common import Scratch, numbered, ship, type_of, workers
 from roadbook.llm.components import Forest, components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -146,6 +146,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``group`` is the smallest fingerprint of the component, ``component_id`` its smallest id.
     """
+    rows, named = _grouped(df, id_col, text_col, size, radius)
+    return rows.join(named, "print").select(id_col, "print", "group", "component_id")
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, size: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's id and print, and each print's group and component, both stored."""
     spark = df.sparkSession
     scratch = Scratch(spark, "simhash")
     rows = scratch.keep(fingerprints(df, text_col, [id_col], size).withColumnRenamed("__simhash_print", "print"))
@@ -156,29 +162,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         prints.join(joined, "print", "left")
         .withColumn("group", F.coalesce("component", "print")))
     least = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-    named = scratch.keep(grouped.join(least, "group").select("print", "group", "component_id"))
-    return rows.join(named, "print").select(id_col, "print", "group", "component_id")
+    return rows, scratch.keep(grouped.join(least, "group").select("print", "group", "component_id"))
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                 radius: int = RADIUS) -> DataFrame:
-    """The rows of ``df`` that name their component, each once.
+    """One row of ``df`` for each component: one that has its smallest id, or none if no row of it has an id.
 
-    Rows that share an id are one document: one of them stays. Of a component
-    without any id one row stays too.
+    Rows are judged by their texts: texts that share an id but are not linked are different
+    components, and each keeps a row. Of several rows with the smallest id the one with
+    the smallest hash stays. The caller's columns may have any names.
     """
-    named = near_duplicates(df, id_col, text_col, size, radius)
-    columns = df.columns
-    stay = named.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__simhash_stays")).distinct()
-    same = Window.partitionBy("__simhash_stays").orderBy(F.xxhash64(*columns))
-    known = (df.join(stay, F.col(id_col) == F.col("__simhash_stays"))
-             .withColumn("__simhash_nth", F.row_number().over(same)).where("__simhash_nth = 1").select(*columns))
-    nameless = named.where("component_id is null").select(F.col("print").alias("__simhash_of"), F.col("group").alias("__simhash_group")).distinct()
-    alike = Window.partitionBy("__simhash_group").orderBy(F.xxhash64(*columns))
-    unknown = (fingerprints(df.where(F.col(id_col).isNull()), text_col, columns, size)
-               .join(nameless, F.col("__simhash_print") == F.col("__simhash_of"))
-               .withColumn("__simhash_nth", F.row_number().over(alike)).where("__simhash_nth = 1").select(*columns))
-    return known.unionByName(unknown)
+    plain, names = numbered(df)
+    id_, text, columns = names[id_col], names[text_col], list(names.values())
+    rows, named = _grouped(plain, id_, text, size, radius)
+    first = F.col(id_).eqNullSafe(F.col("component_id"))
+
+    # an id that only one row has is told by the id; repeated and missing ones only with their text
+    ids = (rows.join(named, "print").where(f"{id_} is not null").groupBy(F.col(id_).alias("one"))
+           .agg(F.count(F.lit(1)).alias("rows"), F.bool_or(first).alias("stays")).where("stays"))
+    sole = plain.join(ids.where("rows = 1").select("one"), F.col(id_) == F.col("one")).select(*columns)
+    shared = plain.join(ids.where("rows > 1").select("one"), F.col(id_) == F.col("one"), "left_semi").unionByName(
+        plain.where(f"{id_} is null"))
+    judged = fingerprints(shared, text, columns, size).join(named, F.col("__simhash_print") == F.col("print")).where(first)
+    # an aggregate, not a window: a component's rows are compared before they are shuffled
+    kept = judged.groupBy("group").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")).select("row.*")
+    return sole.unionByName(kept).toDF(*df.columns)
 
 
 def as_hex(print_col: str = "print"):

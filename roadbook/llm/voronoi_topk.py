@@ -19,7 +19,8 @@ Defined results: vectors that are null or hold null or non-finite components
 take no part, zero vectors do; components beyond a long's range, and scores, are
 held at its ends; vectors of different lengths do not meet; a query that is
 repeated with the same vector is asked once; rows with the query's id are not
-its candidates, other repeated rows are rows of their own; with fewer than k
+its candidates, other repeated rows are rows of their own; a candidate without an id
+comes last among equals and is given without one; with fewer than k
 candidates all are given; an empty table gives an empty table; other columns are
 not looked at.
 """
@@ -123,10 +124,10 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     where = ["length", "cell", "block", "slice"]
     met = (asked.select(*where, "query", "id", "vector").groupBy(*where)
            .cogroup(sent.select(*where, "id", "vector").groupBy(*where)))
-    best = met.applyInArrow(lambda q, x: _solve(q, x, k), "query long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = met.applyInArrow(lambda q, x: _solve(q, x, k), "query long, query_id long, vec_id long, score long, nameless boolean")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "nameless")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), F.when(~F.col("nameless"), F.col("vec_id")).alias("vec_id"), "score"))
 
 
 def _pivots(queries: DataFrame) -> dict[int, Cells]:
@@ -215,11 +216,12 @@ def _sent(rows: DataFrame, cells: dict[int, Cells]) -> DataFrame:
 
 def _solve(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     """The k best rows of the block for each of its queries."""
-    out: list[list[np.ndarray]] = [[], [], [], []]
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
     if len(queries) and len(rows):
         length = queries["length"][0].as_py()
         rows = rows.sort_by("id")  # of equal scores the smaller id comes first
         x, ids = _matrix(rows["vector"].combine_chunks(), length), _ids(rows)
+        nameless = rows["id"].combine_chunks().is_null().to_numpy(False)
         asks, own = _matrix(queries["vector"].combine_chunks(), length), _ids(queries)
         step = max(1, (1 << 23) // len(x))
         for start in range(0, len(asks), step):
@@ -235,10 +237,10 @@ def _solve(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
             first = np.searchsorted(q, q)  # where the query's rows begin
             kept = np.arange(len(q)) - first < k
             q, r = q[kept], r[kept]
-            for to, values in zip(out, (queries["query"].to_numpy()[start + q], mine[q], ids[r], score[q, r])):
+            for to, values in zip(out, (queries["query"].to_numpy()[start + q], mine[q], ids[r], score[q, r], nameless[r])):
                 to.append(values)
-    names = ["query", "query_id", "vec_id", "score"]
-    return pa.table({n: np.concatenate(o).astype(np.int64) if o else np.zeros(0, np.int64) for n, o in zip(names, out)})
+    names = ["query", "query_id", "vec_id", "score", "nameless"]
+    return pa.table({n: np.concatenate(o) if o else np.zeros(0, np.int64 if n != "nameless" else bool) for n, o in zip(names, out)})
 
 
 def _ids(table: pa.Table) -> np.ndarray:

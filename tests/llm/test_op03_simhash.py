@@ -80,3 +80,18 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(300).selectExpr("id * 7 % 301 a", "(id + 1) * 7 % 301 b")
     assert {r.component for r in components(edges, Scratch(spark, "test")).collect()} == {0}
     assert components(edges.limit(0), Scratch(spark, "test")).count() == 0
+
+
+def test_texts_that_share_an_id_are_judged_by_themselves(spark):
+    """Unlinked texts under one id stay, each once; a copy of a smaller id's text goes under any id; any column names."""
+    rows = [(1, "alpha beta gamma delta epsilon", 1), (1, "quite another text with other words in it", 2), (1, "alpha beta gamma delta epsilon", 3),
+            (2, "quite another text with other words in it", 4), (2, "a third text that nobody else has at all", 5),
+            (None, "alpha beta gamma delta epsilon", 6), (None, "a text without any id whatever it says", 7),
+            (None, "a text without any id whatever it says", 8), (3, None, 9), (3, "", 10)]
+    df = spark.createDataFrame([(*r, r[2], r[2]) for r in rows], "doc_id long, text string, __simhash_print int, `group` int, `c 0.x` int")
+    kept = simhash.deduplicate(df)
+    assert kept.columns == df.columns
+    got = {(r.doc_id, r.text) for r in kept.collect()}
+    assert kept.count() == len(got) == 5
+    assert {g for g in got if g[1]} == {(1, rows[0][1]), (1, rows[1][1]), (2, rows[4][1]), (None, rows[6][1])}
+    assert all(r["c 0.x"] == r["group"] == r["__simhash_print"] for r in kept.collect())

@@ -42,23 +42,6 @@ def test_small_vocabularies_equal_a_greedy_loop():
             assert automaton.count(word) == greedy(word, beginnings, rests), (beginnings, rests, word)
 
 
-def test_query_equals_the_library(spark, documents, vocabulary):
-    beginnings, rests = vocabulary
-    names = ["[UNK]", *beginnings, *["##" + r for r in rests]]
-    library = Tokenizer(models.WordPiece({n: i for i, n in enumerate(names)}, unk_token="[UNK]", max_input_chars_per_word=10**9))
-    library.pre_tokenizer = pre_tokenizers.Split(tc_pattern(), "removed")
-    rows = [(r.doc_id, r.text or "") for r in documents.collect()]
-    coded = library.encode_batch([t for _, t in rows])
-    expected = {i: (len(re.findall("[^\x20\x09-\x0d]+", t)), len(c.ids), c.ids.count(0)) for (i, t), c in zip(rows, coded)}
-    assert {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in QUERIES["op5_token_counts"](spark, TINY).collect()} == expected
-
-
-def tc_pattern():
-    from tokenizers import Regex
-
-    return Regex("[\\x20\\x09-\\x0d]+")
-
-
 def test_strange_texts(spark, strange, vocabulary, monkeypatch):
     beginnings, rests = map(set, vocabulary)
     expected = []

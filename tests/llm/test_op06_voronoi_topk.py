@@ -27,14 +27,14 @@ def plain(rows, k=5, scale=256.0):
     for i, q in {(i, tuple(v)) for i, v in usable if i is not None and i % 50 == 0}:
         scores = sorted((-sum(a * b for a, b in zip(q, x)), j if j is not None else 2**63 - 1)
                         for j, x in usable if j != i and len(x) == len(q))
-        out += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores[:k])]
-    return sorted(out)
+        out += [(i, rank + 1, j if j < 2**63 - 1 else None, -s) for rank, (s, j) in enumerate(scores[:k])]
+    return sorted(out, key=str)
 
 
 def ours(spark, rows, k=5):
     df = spark.createDataFrame([(i, v, "l", 1) for i, v in rows], "vec_id long, embedding array<float>, length string, cell int")
     found = voronoi_topk.top_k(df, F.col("vec_id") % 50 == 0, k=k)
-    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
+    return sorted(((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()), key=str)
 
 
 def test_strange_vectors(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -111,3 +112,47 @@ def test_the_box_is_widened_to_the_whole_article(spark, page, parts):
     assert found[0] == found[1] == expected
     if "<a " not in page:
         assert found[2] == parts.format(FORTY, SIXTY).split()
+
+
+BESIDE = "It goes on for some more words than that."
+
+
+@pytest.mark.parametrize("page, text", [
+    *[(f"<body><div class=post><{tag} class='{name}'>Title of it</{tag.split()[0]}>{STORY}</div>", f"Title of it\n{TOLD}")
+      for tag, name in [("h1", "page-header"), ("h1", "entry-header"), ("h2", "section-header"), ("h1", "header"), ("p", "share-price"),
+                        ("p", "ad-hoc"), ("p", "related-work"), ("label", "x"), ("fieldset", "x")]],
+    (f"<body><div class=post><p>Her <span class='social-security'>number</span> is here.</p>{STORY}</div>", f"Her number is here.\n{TOLD}"),
+    *[(f"<body><article>{STORY}<{tag}><p>{BESIDE}</p></{tag.split()[0]}></article>", f"{TOLD}\n{BESIDE}")
+      for tag in ("section class='related-work'", "div class='cookie-recipe'", "section id='menu-of-the-day'", "div class=ad-hoc")],
+    (f"<body><div><p>Short</p></div><a name=top><div class=post>{STORY}</div>", f"Short\n{TOLD}"),
+    (f"<body><a href=x>unclosed<div class=post><p>one</p>{STORY}</div>", f"one\n{TOLD}"),
+    (f"<body><div>{STORY}</div><div><p>{BESIDE}</p></div>", f"{TOLD}\n{BESIDE}"),
+    (f"<body>Loose before<div>{STORY}</div>and after", f"Loose before\n{TOLD}\nand after"),
+    (f"<body><div>{STORY}</div><div><a href=x>one link</a></div><div class=other>else</div>", TOLD),
+    (f"<body><div class=post>{STORY}<p class=notice>n</p><span class=ad>buy</span><div class=share-buttons>s</div></div>", TOLD),
+])
+def test_no_title_section_or_sibling_is_lost(page, text):
+    assert html_text.extract(page, None) == text
+    assert html_text.extract(page, max(dict(html_text.votes(page)), key=dict(html_text.votes(page)).get)) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "</b>" * 50_000, "<div>" * 50_000 + "<li>" * 50_000, "<div>" * 1000 + "<div><p>word" * 1000,
+    "<article class=promo>" * 3000 + "x", "<a href=x>" * 50_000 + "<p>x" * 50_000, "<div class=ad-box>" * 20_000 + "<p>x</p>" * 20_000,
+])
+def test_hostile_nesting_ends_within_seconds(page):
+    start = time.perf_counter()
+    html_text.votes(page), html_text.extract(page, None)
+    assert time.perf_counter() - start < 20
+
+
+def test_small_hosts_and_large_ones(spark, monkeypatch):
+    """Hosts below the share that is met where pages are read get their paths by host, with the same texts."""
+    page = "<html><body><div class=story><p>the story of page {0} as told here</p></div><div class=talk><p>{1}</p></div></body></html>"
+    rows = [(i, f"http://h{i % 7}.example/", page.format(i, "no" if i < 14 else LONG)) for i in range(21)] + [(99, None, page.format(99, "no"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for hosts in (1_000, 1):
+        monkeypatch.setattr(html_text, "LARGE_HOSTS", hosts)
+        found.append(sorted((r.page_id, r.text) for r in html_text.main_text(df).collect()))
+    assert found[0] == found[1] == [(i, f"the story of page {i} as told here") for i in (*range(21), 99)]

@@ -51,6 +51,22 @@ def test_run_gives_the_last_stage(spark):
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and rows.count() > 0
 
 
+def test_stages_on_strange_rows(spark, strange):
+    """Nulls, empty and long texts, repeated rows, a null id and columns named as the operators name theirs."""
+    docs = strange.selectExpr("*", "size as __mix_key", "key as __simhash_print", "id as print", "size as n_tokens_")
+    docs = corpus_pipeline.drop_near_duplicates(spark, docs, TINY)
+    single = [tuple(r) for r in docs.collect()]
+    assert docs.columns[-4:] == ["__mix_key", "__simhash_print", "print", "n_tokens_"]
+    assert len(single) == len({plain_print(r[1]) for r in single}) and all(r[3] == r[6] for r in single)
+    mixed = corpus_pipeline.mix_sources(spark, docs, TINY)
+    assert mixed.columns == docs.columns and all(r["__mix_key"] == r["size"] for r in mixed.collect())
+    assert set(map(tuple, mixed.collect())) <= set(single)
+    coded = corpus_pipeline.encode_pieces(spark, mixed, TINY)
+    assert coded.count() == mixed.count()
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.mix_sources, corpus_pipeline.encode_pieces):
+        assert stage(spark, strange.limit(0), TINY).count() == 0
+
+
 def test_repeated_runs_agree(spark, strange):
     one, two = (sorted((str(r.doc_id), r.turns) for r in mixing.queue(strange).collect()) for _ in range(2))
     assert one == two
