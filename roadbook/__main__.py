@@ -29,8 +29,7 @@ def parser() -> argparse.ArgumentParser:
         which.add_argument("--batch", metavar="YYYY-MM-DD",
                            help="one landed date" + ("; without it, all that are landed" if name == "load" else ""))
         if name == "run":
-            which.add_argument("--new-files", metavar="FOLDER", help="every batch with files not taken before; what has "
-                               "been taken is remembered in this folder")
+            which.add_argument("--new-files", action="store_true", help="every batch with files that are new, rewritten or gone")
             one.add_argument("--as-of", type=date.fromisoformat, default=date.today(), metavar="YYYY-MM-DD")
             one.add_argument("--full-refresh", action="store_true")
             one.add_argument("--latest-dimensions", action="store_true")
@@ -52,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "load":
         loads = load_all(spark, args.landing, Warehouse(spark, args.warehouse), args.tables, args.batch)
     elif args.new_files:
-        loads = pipeline.run_new_files(spark, args.landing, args.warehouse, args.as_of, args.new_files, args.tables,
+        loads = pipeline.run_new_files(spark, args.landing, args.warehouse, args.as_of, args.tables,
                                        latest_dimensions=args.latest_dimensions).loads
     else:
         loads = pipeline.run(spark, args.landing, args.warehouse, args.batch, args.as_of, args.tables,

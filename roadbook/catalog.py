@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadbook import fixtures
-from roadbook.checks import quality
+from roadbook.checks import keys, quality
 from roadbook.functions import fleet
-from roadbook.operators import rejects, staging
+from roadbook.operators import distinct, rejects, staging
 from roadbook.plans import gold, metrics, serving, silver
-from roadbook.sources import landing
+from roadbook.sources import landing, multiline
 
 # The test tables' fixed "today": service logs end in 2001, pings in January 2024.
 HEALTH_AS_OF = date(2001, 8, 15)
@@ -129,6 +129,26 @@ def urgency_bucket(spark, sf_dir):
                                                  fleet.urgency(days).alias("urgency"))
 
 
+@query
+def null_scores(spark, sf_dir):
+    """Scores of routes by day and vehicles by month where some have no speed: NULL in, NULL out."""
+    segments = silver.int_route_segments(staging.stg_gps_events(fixtures.pings_without_speeds(spark, sf_dir)), stg_routes(spark, sf_dir))
+    routes = gold.mart_route_efficiency(segments)
+    vehicles = gold.mart_driver_performance(silver.int_vehicle_daily_stats(segments), stg_vehicles(spark, sf_dir))
+    return routes.select(F.col("route_id").alias("id"), F.col("segment_date").alias("period"), F.col("efficiency_score").alias("score")).union(
+        vehicles.select("vehicle_id", "month", "safety_score"))
+
+
+@query
+def distinct_vehicles_by_zone_month(spark, sf_dir):
+    """Merged from the states of days; the mart's own vehicles_on_route keeps its published sum."""
+    pings = silver.with_route(stg_gps_events(spark, sf_dir), stg_routes(spark, sf_dir))
+    numbered = distinct.numbers(stg_gps_events(spark, sf_dir), "vehicle_id")
+    daily = distinct.states(pings, numbered, "vehicle_id", ["zone", "event_date"])
+    monthly = distinct.merged(daily, ["zone", F.trunc("event_date", "MM").alias("month")])
+    return distinct.counts(monthly, ["zone", "month"], "vehicles")
+
+
 # verified queries
 
 @query
@@ -156,6 +176,13 @@ def vq_lowest_efficiency_routes(spark, sf_dir):
     return serving.lowest_efficiency_routes(mart_route_efficiency(spark, sf_dir), EFFICIENCY_AS_OF)
 
 
+@query
+def question_speed_by_zone(spark, sf_dir):
+    """A verified query by the words of its question."""
+    return metrics.answer("What is the average speed by route zone?", {"mart_route_efficiency": mart_route_efficiency(spark, sf_dir)},
+                          EFFICIENCY_AS_OF)
+
+
 # dashboard
 
 @query
@@ -174,6 +201,12 @@ def dash_fleet_health(spark, sf_dir):
     return serving.fleet_health_rows(mart_fleet_health(spark, sf_dir), ["light", "medium", "heavy"])
 
 
+@query
+def dash_absent_columns(spark, sf_dir):
+    """The view of a mart that lacks some of its columns: those that are there."""
+    return serving.fleet_health_rows(mart_fleet_health(spark, sf_dir).drop("make", "status"))
+
+
 @query
 def dash_selected_classes(spark, sf_dir):
     return serving.fleet_health_rows(mart_fleet_health(spark, sf_dir), ["heavy", "light"])
@@ -235,6 +268,15 @@ def metric_where(spark, sf_dir):
                                 where={"zone": ["ASIA", "EUROPE"], "segment_date": (date(2024, 1, 5), date(2024, 1, 20))})
 
 
+@query
+def metric_groupings(spark, sf_dir):
+    """Four groupings of one mart in one pass."""
+    marts = {"mart_route_efficiency": mart_route_efficiency(spark, sf_dir)}
+    return metrics.metric_groupings(marts, "mart_route_efficiency", [
+        (["zone"], ["avg_speed", "total_miles"]), (["district"], ["efficiency_score"]),
+        (["zone", "district"], ["avg_speed", "vehicles_on_route"]), ([], ["total_miles", "efficiency_score"])])
+
+
 # data quality
 
 def _checked(spark, sf_dir):
@@ -279,6 +321,24 @@ def dq_report(spark, sf_dir):
     return quality.report(_checked(spark, sf_dir), views=staging.views())
 
 
+@query
+def dq_unique_after_reload(spark, sf_dir):
+    """Uniqueness of pings after one of three batches has been replaced, by the keys that it touches."""
+    pings, again = fixtures.reloaded_pings(spark, sf_dir)
+    views = staging.views()
+    parts = [F.lit(True), F.coalesce(views["silver.stg_gps_events"][1], F.lit(False))]
+    stored, new = keys.key_rows(pings, "event_id", "unit", parts), keys.key_rows(again, "event_id", "unit", parts)
+    old, rest = stored.where("unit = 1"), stored.where("unit <> 1")
+    added = keys.added_repeats(rest, old, new, keys.touched_keys(old, new), 2)
+    # what a ledger would hold already: nothing was there before the three batches
+    none = stored.limit(0)
+    before = keys.added_repeats(none, none, stored, keys.touched_keys(none, stored), 2)
+    both = before.union(added).agg(F.sum("r0").alias("r0"), F.sum("r1").alias("r1"))
+    return both.select(F.inline(F.array(
+        F.struct(F.lit("raw.gps_events").alias("table_name"), F.col("r0").alias("failing_rows")),
+        F.struct(F.lit("silver.stg_gps_events").alias("table_name"), F.col("r1").alias("failing_rows")))))
+
+
 @query
 def raw_row_counts(spark, sf_dir):
     return quality.row_counts({t: build(spark, sf_dir) for t, build in fixtures.RAW.items()})
@@ -303,6 +363,13 @@ def ingest_csv_rejects(spark, sf_dir):
         "text.*", F.col("_reason").alias("reason"))
 
 
+@query
+def ingest_csv_multiline(spark, sf_dir):
+    """Service logs from lines of split files, notes with newlines and all."""
+    rows = multiline.split_rows(fixtures.log_lines(spark, sf_dir)).withColumnRenamed("row", "line")
+    return rejects.accepted(rejects.parse(landing.read_lines(rows, "maintenance_logs"), "maintenance_logs"))
+
+
 @query
 def ingest_load_summary(spark, sf_dir):
     return rejects.load_summary(_parsed(spark, sf_dir), "gps_events")

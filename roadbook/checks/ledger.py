@@ -1,27 +1,25 @@
 """What has been checked, kept beside the tables, so that a daily gate reads its batch only.
 
-Row checks are counted while rows are written and uniqueness is told from stored
-keys (``keys``). Both are kept by unit: the batch of a raw table, the day of a
-silver one. A unit that is written again replaces its counts and keys in the version
-that replaces its rows, so what the ledger says is what a report over the whole
-tables would.
+Row checks are counted while rows are written, and what failed is noted in the
+version that holds the rows; uniqueness is told from stored keys (``keys``). Both are
+kept by unit: the batch of a raw table, the day of a silver one. A unit that is
+written again replaces its notes and keys in the version that replaces its rows, so
+what the ledger says is what a report over the whole tables would. Notes name failing
+checks only, so they are few wherever the gate is heeded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadbook.checks import keys
 from roadbook.checks.quality import Part, row_conditions
 from roadbook.sources.warehouse import NULL_PARTITION, Run, Warehouse
 
-COUNTS = "state.check_counts"
-COUNTS_SCHEMA = "source string, unit string, table_name string, check_name string, column_name string, failing_rows long"
+FAILING = "failing"  # the note: source, unit, then table, check, column and failing rows
 WHOLE = "whole"  # the unit of what is known of a table as a whole: its repeated values
 
 Unit = object  # a value of the unit column
@@ -41,7 +39,7 @@ def counts_of(parts: list[Part], own: Column | None = None) -> dict[str, Column]
     return {f"c{i}": F.count_if(own & fails) for i, (*_, fails) in enumerate(row_conditions(parts))}
 
 
-def results_of(parts: list[Part], counted: dict[str, int]) -> list[Row]:
+def results_of(parts: list[Part], counted: Mapping[str, int]) -> list[Row]:
     return [result(table, check, column, counted[f"c{i}"]) for i, (table, check, column, _) in enumerate(row_conditions(parts))]
 
 
@@ -55,63 +53,52 @@ def keys_table(source: str, column: str) -> str:
     return f"state.keys_{source.split('.')[1]}_{column}"
 
 
-@dataclass
-class Ledger:
-    """The ledger as one run sees and changes it; what it writes is published with the run's tables."""
-
-    warehouse: Warehouse  # pinned to the version that the run began on
-    run: Run
-
-    def counts(self) -> DataFrame | None:
-        return self.warehouse.read(COUNTS) if self.warehouse.exists(COUNTS) else None
-
-    def repeats(self, source: str, parts: list[Part], made: DataFrame, unit: str, units: Iterable[Unit] | None) -> tuple[list[Row], dict]:
-        """Uniqueness of a source once ``made`` has replaced the units, all if None; and the tables to publish for it."""
-        found, tables = [], {}
-        known = {(r.table_name, r.column_name): r.failing_rows
-                 for r in self._whole(source)} if units is not None else {}
-        for column, owners in unique_columns(parts).items():
-            name = keys_table(source, column)
-            rows = keys.key_rows(made, column, unit, [own for _, own in owners])
-            new = self.run.write(rows, name, unit, order=("bucket", "key"))
-            tables[name] = units
-            kept = self.warehouse.exists(name) and units is not None
-            stored = self.warehouse.read(name) if kept else new.limit(0)
-            replaced = among(F.col(unit), units) if units is not None else F.lit(True)
+def repeats(base: Warehouse, run: Run, source: str, parts: list[Part], made: DataFrame, unit: str,
+            units: Iterable[Unit] | None) -> tuple[list[Row], dict]:
+    """Uniqueness of a source once ``made`` has replaced the units, all if None; and the key tables to publish for it.
+
+    ``base`` is the warehouse as the run found it.
+    """
+    found, tables = [], {}
+    noted = base.version().notes.get(FAILING, {}).get(source, {}).get(WHOLE, []) if units is not None else []
+    known = {(table, column): failing for table, _, column, failing in noted}
+    for column, owners in unique_columns(parts).items():
+        name = keys_table(source, column)
+        new = run.write(keys.key_rows(made, column, unit, [own for _, own in owners]), name, unit, order=("bucket", "key"))
+        tables[name] = units
+        if units is not None and base.exists(name):
+            stored, replaced = base.read(name), among(F.col(unit), units)
             old, rest = stored.where(replaced), stored.where(~replaced)
-            touched = self.run.write(keys.touched_keys(old, new), f"{name}_touched")
-            added = keys.added_repeats(rest, old, new, touched, len(owners), keys.buckets_of(touched)).first()
-            found += [result(table, "unique", column, known.get((table, column), 0) + (added[f"r{i}"] or 0))
-                      for i, (table, _) in enumerate(owners)]
-        return found, tables
-
-    def _whole(self, source: str) -> list[Row]:
-        counts = self.counts()
-        return [] if counts is None else counts.where((F.col("source") == source) & (F.col("unit") == WHOLE)).collect()
-
-    def record(self, source: str, by_unit: dict[str, list[Row]], whole: list[Row], units: Iterable[Unit] | None) -> dict:
-        """Write a source's counts: of the given units in the place of what they had, and of the whole. The table to publish.
-
-        Of a unit only checks that some row failed are kept; of the whole, the uniqueness of each column.
-        """
-        spark = self.warehouse.spark
-        rows = [(source, unit, *r[:4]) for unit, results in by_unit.items() for r in results if r.failing_rows]
-        rows += [(source, WHOLE, *r[:4]) for r in whole]
-        fresh = spark.createDataFrame(rows, T.StructType.fromDDL(COUNTS_SCHEMA))
-        before = self.counts()
-        if before is not None and units is not None:
-            gone = [WHOLE, *[unit_text(u) for u in units]]
-            fresh = fresh.unionByName(before.where((F.col("source") == source) & ~F.col("unit").isin(gone)))
-        # a source's rows are one folder of a few short rows for each unit
-        self.run.write(fresh.coalesce(1), COUNTS, "source")
-        return {COUNTS: [source]}
-
-
-def report(warehouse: Warehouse, parts: dict[str, list[Part]]) -> list[Row]:
-    """Every check of the sources and their views over whole tables, from the ledger."""
-    counts = warehouse.read(COUNTS).where(F.col("source").isin(list(parts)))
-    found = {tuple(r[:3]): r.failing_rows for r in counts.groupBy("table_name", "check_name", "column_name")
-             .agg(F.sum("failing_rows").alias("failing_rows")).collect()}
+        else:
+            old = rest = new.limit(0)
+        touched = keys.touched_keys(old, new)
+        added = keys.added_repeats(rest, old, new, touched, len(owners), keys.buckets_of(touched)).first()
+        found += [result(table, "unique", column, known.get((table, column), 0) + (added[f"r{i}"] or 0))
+                  for i, (table, _) in enumerate(owners)]
+    return found, tables
+
+
+def noting(source: str, by_unit: Mapping[str, list[Row]], whole: list[Row], units: Iterable[Unit] | None) -> Callable[[dict], dict]:
+    """A change of a version's notes: what failed in the given units, all if None, takes the place of what was noted of them."""
+    def change(notes: dict) -> dict:
+        before = notes.get(FAILING, {}).get(source, {}) if units is not None else {}
+        gone = {WHOLE, *[unit_text(u) for u in units or ()]}
+        now = {u: rows for u, rows in before.items() if u not in gone}
+        now |= {u: failed for u, rows in by_unit.items() if (failed := [list(r[:4]) for r in rows if r.failing_rows])}
+        now[WHOLE] = [list(r[:4]) for r in whole if r.failing_rows]
+        return {**notes, FAILING: {**notes.get(FAILING, {}), source: now}}
+
+    return change
+
+
+def report(warehouse: Warehouse, parts: Mapping[str, list[Part]]) -> list[Row]:
+    """Every check of the sources and their views over whole tables, from the notes."""
+    noted = warehouse.version().notes.get(FAILING, {})
+    found: dict[tuple, int] = {}
+    for source in parts:
+        for rows in noted.get(source, {}).values():
+            for *check, failing in rows:
+                found[tuple(check)] = found.get(tuple(check), 0) + failing
     checks = [c[:3] for own in parts.values() for c in row_conditions(own)]
     checks += [(table, "unique", column) for own in parts.values() for column, owners in unique_columns(own).items() for table, _ in owners]
     return [result(*check, found.get(check, 0)) for check in checks]
@@ -119,8 +106,7 @@ def report(warehouse: Warehouse, parts: dict[str, list[Part]]) -> list[Row]:
 
 def known_sources(warehouse: Warehouse) -> set[str]:
     """The sources that the ledger covers."""
-    entry = warehouse.version().tables.get(COUNTS)
-    return {f.split("=", 1)[1] for f in entry["parts"]} if entry else set()
+    return set(warehouse.version().notes.get(FAILING, {}))
 
 
 def among(value: Column, wanted: Iterable[Unit]) -> Column:

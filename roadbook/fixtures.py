@@ -188,3 +188,34 @@ def dirty_gps_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(n % 70 == 9, "").when(n % 70 == 10, F.concat(F.lit(","), text(F.col("ts").cast("date")), F.lit(",more"))).otherwise(
         F.concat(F.lit(","), text(F.col("ts").cast("date"))))
     return events.select(F.concat(F.concat_ws(",", *fields), day).alias("line"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service logs as lines of files, ``file, split, at, line``, as a reader of many splits gets them.
+
+    Notes hold newlines, commas, doubled and stray quotes; a split ends wherever it does, also within a note.
+    """
+    n, text = F.col("o_orderkey"), lambda c: F.col(c).cast("string")
+    logs = maintenance_logs(spark, sf_dir).withColumn("o_orderkey", F.substring("log_id", 4, 30).cast("bigint") - 1)
+    notes = _pick(n % 5, ["plain", '"first\nsecond ""line"", end"', '"\n,\n"', '"a, ""b"""', 'say "hi'])
+    row = F.concat_ws(",", *[text(c) for c in ("log_id", "vehicle_id", "service_type", "service_date", "cost_usd", "mileage_at_service",
+                                               "technician")], notes)
+    lines = logs.select(n, F.posexplode(F.split(row, "\n")).alias("nth", "line"))
+    at = n % 1000 * 4 + F.col("nth")  # a row has three lines at most
+    return lines.select(F.concat(F.lit("file-"), F.floor(n / 1000).cast("string")).alias("file"),
+                        F.floor(at / 101).alias("split"), at.alias("at"), "line")
+
+
+def reloaded_pings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The spoilt pings in three batches (``unit``), and what batch 1 holds after it has landed anew."""
+    pings = dirty(spark, sf_dir)["gps_events"].withColumn("unit", F.second("event_ts") % 3)
+    minute = F.minute("event_ts")
+    again = pings.where("unit = 1").where(minute % 5 != 0).withColumn(
+        "event_id", F.when(minute % 7 == 0, "EV-0000002").otherwise(F.col("event_id")))
+    return pings, again
+
+
+def pings_without_speeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pings of which one route and two vehicles have no speed at all."""
+    none = F.col("route_id").isin("RT-0003") | F.col("vehicle_id").isin("VH-000004", "VH-000009")
+    return _spoilt(gps_events(spark, sf_dir), {"speed_mph": F.when(~none, F.col("speed_mph"))})

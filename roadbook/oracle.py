@@ -433,6 +433,37 @@ SELECTS: dict[str, str] = {
     "dq_accepted_values": _checks("accepted_values"),
     "dq_range": _checks("range"),
     "dq_report": _checks("not_null", "unique", "accepted_values", "range"),
+    "dq_unique_after_reload": """
+        SELECT 'raw.gps_events' AS table_name, count(*) AS failing_rows
+        FROM (SELECT event_id FROM reloaded WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1)
+        UNION ALL
+        SELECT 'silver.stg_gps_events', count(*)
+        FROM (SELECT event_id FROM reloaded WHERE event_id IS NOT NULL AND lat BETWEEN 29.5 AND 30.1 AND lon BETWEEN -95.8 AND -95.1
+              GROUP BY event_id HAVING count(*) > 1)""",
+    "null_scores": """
+        SELECT route_id AS id, segment_date AS period, efficiency_score AS score FROM efficiency
+        UNION ALL SELECT vehicle_id, "month", safety_score FROM performance""",
+    "distinct_vehicles_by_zone_month": """
+        SELECT r.zone, CAST(date_trunc('month', g.event_date) AS DATE) AS "month", count(DISTINCT g.vehicle_id) AS vehicles
+        FROM stg_gps g LEFT JOIN raw_routes r ON g.route_id = r.route_id GROUP BY ALL""",
+    "question_speed_by_zone": f"""
+        SELECT zone, {_mean('avg_speed')} AS avg_speed_mph FROM efficiency GROUP BY zone""",
+    "dash_absent_columns": """
+        SELECT vehicle_id, model, vehicle_class, last_service_date, days_since_service, total_cost_ytd, maintenance_urgency
+        FROM health""",
+    "metric_groupings": f"""
+        SELECT 0 AS query, zone, NULL::varchar AS district, {_mean('avg_speed')} AS avg_speed,
+          CAST(sum(CAST(total_miles AS DECIMAL(18,4))) AS DOUBLE) AS total_miles, NULL::double AS efficiency_score, NULL::bigint AS vehicles_on_route
+        FROM efficiency GROUP BY zone
+        UNION ALL SELECT 1, NULL, district, NULL, NULL, {_mean('efficiency_score')}, NULL FROM efficiency GROUP BY district
+        UNION ALL SELECT 2, zone, district, {_mean('avg_speed')}, NULL, NULL, CAST(sum(vehicles_on_route) AS BIGINT)
+        FROM efficiency GROUP BY zone, district
+        UNION ALL SELECT 3, NULL, NULL, NULL, CAST(sum(CAST(total_miles AS DECIMAL(18,4))) AS DOUBLE), {_mean('efficiency_score')}, NULL
+        FROM efficiency""",
+    "ingest_csv_multiline": """
+        SELECT * REPLACE (CASE (CAST(substr(log_id, 4) AS BIGINT) - 1) % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'first' || chr(10) || 'second "line", end'
+          WHEN 2 THEN chr(10) || ',' || chr(10) WHEN 3 THEN 'a, "b"' ELSE 'say "hi' END AS notes)
+        FROM raw_maintenance_logs""",
     "raw_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t}"
         for t in ("routes", "vehicles", "stops", "gps_events", "maintenance_logs")),
@@ -474,13 +505,32 @@ _DIRTY = [
 ]
 
 
-def _dirty_ctes() -> str:
-    """The same chain over spoilt raw tables: the clean ones step back under another name."""
+# The spoilt pings with batch 1 of three as it landed anew.
+_RELOADED = """,
+reloaded AS (
+  SELECT event_id, lat, lon FROM raw_gps_events WHERE extract(second FROM event_ts) % 3 <> 1
+  UNION ALL
+  SELECT CASE WHEN extract(minute FROM event_ts) % 7 = 0 THEN 'EV-0000002' ELSE event_id END, lat, lon
+  FROM raw_gps_events WHERE extract(second FROM event_ts) % 3 = 1 AND extract(minute FROM event_ts) % 5 <> 0)"""
+
+_SPEEDLESS = """raw_gps_events AS (
+  SELECT * REPLACE (CASE WHEN route_id NOT IN ('RT-0003') AND vehicle_id NOT IN ('VH-000004', 'VH-000009') THEN speed_mph END AS speed_mph)
+  FROM clean_gps_events)"""
+
+
+def _replaced(tables: tuple[str, ...], instead: list[str]) -> str:
+    """The same chain over other raw tables: the clean ones step back under another name."""
     clean, rest = CTES.split("stg_gps AS (", 1)
-    for table in ("routes", "vehicles", "gps_events", "maintenance_logs"):
+    for table in tables:
         clean = clean.replace(f"raw_{table} AS (", f"clean_{table} AS (")
-    return clean + ",\n".join(_DIRTY) + ",\nstg_gps AS (" + rest
+    return clean + ",\n".join(instead) + ",\nstg_gps AS (" + rest
+
+
+def _ctes(name: str) -> str:
+    if name.startswith("dq_"):
+        return _replaced(("routes", "vehicles", "gps_events", "maintenance_logs"), _DIRTY) + _RELOADED
+    return _replaced(("gps_events",), [_SPEEDLESS]) if name == "null_scores" else CTES
 
 
 def statements() -> dict[str, str]:
-    return {name: f"WITH {_dirty_ctes() if name.startswith('dq_') else CTES}\n{select}" for name, select in SELECTS.items()}
+    return {name: f"WITH {_ctes(name)}\n{select}" for name, select in SELECTS.items()}

@@ -137,6 +137,38 @@ def metric_query(marts: Mapping[str, DataFrame], table: str, dimensions: list[st
     return out.limit(limit) if limit is not None else out
 
 
+def metric_groupings(marts: Mapping[str, DataFrame], table: str, queries: list[tuple[list[str], list[str]]]) -> DataFrame:
+    """Several (dimensions, measures) of one mart in one pass over it: ``query``, all dimensions, all measures.
+
+    ``query`` is the place in the list. A dimension that a query does not group by, and a measure that it does
+    not ask for, is NULL in its rows; a group of NULLs is a row of its own, told from a total by the grouping.
+    """
+    _known("table", table, METRIC_TABLES)
+    spec = METRIC_TABLES[table]
+    for dimensions, measures in queries:
+        for name in dimensions:
+            _known("dimension", name, spec.dimensions)
+        for name in measures:
+            _known("measure", name, spec.measures)
+    dims = list(dict.fromkeys(d for dimensions, _ in queries for d in dimensions))
+    wanted = list(dict.fromkeys(m for _, measures in queries for m in measures))
+    sets = list(dict.fromkeys(tuple(d for d in dims if d in dimensions) for dimensions, _ in queries))
+    df = marts[table]
+    if dims:
+        grouped = df.groupingSets([[F.col(d) for d in group] for group in sets], *[F.col(d) for d in dims]).agg(
+            F.grouping_id(*dims).alias("_grouping"), *[spec.measures[m].column().alias(m) for m in wanted])
+    else:
+        grouped = df.agg(F.lit(0).alias("_grouping"), *[spec.measures[m].column().alias(m) for m in wanted])
+    # a grouping's bits: one for each dimension that is left out, the first dimension's highest
+    bits = {group: sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in group) for group in sets}
+    asked = F.array(*[F.struct(F.lit(i).alias("query"), F.lit(bits[tuple(d for d in dims if d in dimensions)]).alias("bits"),
+                               *[F.lit(m in measures).alias(f"has_{m}") for m in wanted])
+                      for i, (dimensions, measures) in enumerate(queries)])
+    told = grouped.withColumn("_asked", F.explode(F.filter(asked, lambda q: q["bits"] == F.col("_grouping"))))
+    return told.select(F.col("_asked")["query"].alias("query"), *dims,
+                       *[F.when(F.col("_asked")[f"has_{m}"], F.col(m)).alias(m) for m in wanted])
+
+
 @dataclass(frozen=True)
 class VerifiedQuery:
     name: str

@@ -21,10 +21,10 @@ from roadbook.operators import staging
 from roadbook.operators.latest import latest_by
 from roadbook.plans import gold, silver
 from roadbook.schemas import TABLES
-from roadbook.sources.landing import has_files, landing_folder, require_landed
+from roadbook.sources.files import changed_batches
+from roadbook.sources.landing import require_landed
 from roadbook.sources.loader import BATCH, LoadResult, load_all, load_table, raw_table
 from roadbook.sources.warehouse import Run, Warehouse
-from roadbook.streaming.incremental import new_batches
 
 log = logging.getLogger(__name__)
 
@@ -60,8 +60,9 @@ def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 Days = list[date | None]  # None stands for pings without a date
 
-# Days whose silver and gold rows may differ from raw: kept until a run has published them.
-PENDING = "state.pending_days"
+# A version's notes: days whose silver and gold rows may differ from raw, kept until a run has published them;
+# and tables that were published without a gate.
+PENDING, UNCHECKED = "pending", "unchecked"
 
 
 def _days(pings: DataFrame) -> Days:
@@ -75,22 +76,16 @@ def days_of_batch(warehouse: Warehouse, batch_date: str) -> Days:
     return _days(raw_table(warehouse, "gps_events").where(F.col(BATCH) == F.lit(batch_date).cast("date")))
 
 
-def _remember(warehouse: Warehouse, days: Days) -> Days:
-    """Add days to the pending ones, on disk, before anything changes that they depend on."""
-    before = _days(warehouse.read(PENDING)) if warehouse.exists(PENDING) else []
-    days = list(dict.fromkeys([*before, *days]))
-    _set_pending(warehouse, days)
-    return days
-
-
-def _write_pending(run: Run, days: Days) -> dict:
-    run.write(run.warehouse.spark.createDataFrame([(d,) for d in days], "event_date date").coalesce(1), PENDING)
-    return {PENDING: None}
+def pending_days(warehouse: Warehouse) -> Days:
+    return [d and date.fromisoformat(d) for d in warehouse.version().notes.get(PENDING, [])]
 
 
-def _set_pending(warehouse: Warehouse, days: Days) -> None:
-    run = warehouse.begin()
-    warehouse.publish(run, _write_pending(run, days))
+def _remember(warehouse: Warehouse, days: Days) -> Days:
+    """Add days to the pending ones, before anything changes that they depend on."""
+    texts = [d and str(d) for d in days]
+    if not set(texts) <= set(warehouse.version().notes.get(PENDING, [])):
+        warehouse.publish(warehouse.begin(), {}, notes=lambda now: {**now, PENDING: list(dict.fromkeys([*now.get(PENDING, []), *texts]))})
+    return pending_days(warehouse)
 
 
 # silver and gold tables, each with the column that it is stored by and rebuilt by
@@ -180,7 +175,7 @@ def check_inputs(warehouse: Warehouse, latest_dimensions: bool = False) -> list:
     now = warehouse.at()
     collapsed = {f"raw.{t}" for t in DIMENSIONS} if latest_dimensions else set()
     views = staging.views()
-    known = {s: quality.parts_of(s, views=views) for s in ledger.known_sources(now) if s.startswith("raw.") and s not in collapsed}
+    known = {s: quality.parts_of(s, views=views) for s in sorted(ledger.known_sources(now)) if s.startswith("raw.") and s not in collapsed}
     rows = ledger.report(now, known) if known else []
     others = {f"raw.{t}": df for t, df in raw_tables(now, latest_dimensions).items()
               if f"raw.{t}" not in known and f"raw.{t}" in quality.CHECKS}
@@ -189,15 +184,10 @@ def check_inputs(warehouse: Warehouse, latest_dimensions: bool = False) -> list:
     return quality.gate(rows)
 
 
-UNCHECKED = "unchecked"  # a version's note: tables that were published without a gate
-
-
 def _unique(warehouse: Warehouse, run: Run, made: Build, days: Days | None) -> tuple[list, dict]:
     """Uniqueness of what will be published: of segments by the days' keys, of the fleet by its one table."""
     parts = quality.parts_of(SEGMENTS)
-    book = ledger.Ledger(warehouse, run)
-    found, tables = book.repeats(SEGMENTS, parts, made.written[SEGMENTS], "event_date", days)
-    tables |= book.record(SEGMENTS, {}, found, days)
+    found, tables = ledger.repeats(warehouse, run, SEGMENTS, parts, made.written[SEGMENTS], "event_date", days)
     for name in PARTS:
         if name != SEGMENTS and quality.CHECKS[name].unique:  # a whole table, which the run has just written
             for counted in quality.unique_checks(made.merged[name], quality.parts_of(name)):
@@ -218,15 +208,16 @@ def rebuild(warehouse: Warehouse, as_of: date, days: Days | None = None, latest_
     run = base.begin()
     try:
         made = build(base, run, as_of, days, latest_dimensions)
-        unique, state = _unique(base, run, made, days)
+        unique, keys = _unique(base, run, made, days)
         checks = []
         if check:
             late = {n: made.merged[n] for n in base.version().notes.get(UNCHECKED, []) if made.merged[n] is not made.written[n]}
             again = quality.report(late, quality.ROW_KINDS).collect() if late else []
             checks = quality.gate([c for c in made.checks if c.table_name not in late] + again + unique)
-        tables = {**replaced_values(days), **state, **_write_pending(run, [])}
-        warehouse.publish(run, tables, base.version(), [*PARTS, *[n for n in state if n != ledger.COUNTS]],
-                          {UNCHECKED: [] if check else list(PARTS)})
+        done = set(base.version().notes.get(PENDING, [])) if days is None else {d and str(d) for d in days}
+        note = ledger.noting(SEGMENTS, {}, [r for r in unique if r.table_name == SEGMENTS], days)
+        warehouse.publish(run, {**replaced_values(days), **keys}, base.version(), [*PARTS, *keys], lambda now: {
+            **note(now), PENDING: [d for d in now.get(PENDING, []) if d not in done], UNCHECKED: [] if check else list(PARTS)})
     finally:
         run.remove()
     return checks
@@ -256,26 +247,21 @@ def run(spark: SparkSession, landing: str, root: str, batch_date: str, as_of: da
     return RunResult(loads, wanted, checks)
 
 
-def run_new_files(spark: SparkSession, landing: str, root: str, as_of: date, checkpoint: str,
+def run_new_files(spark: SparkSession, landing: str, root: str, as_of: date,
                   tables: Iterable[str] | None = None, latest_dimensions: bool = False) -> RunResult:
-    """As :func:`run`, for every batch that has files which no earlier call has taken.
+    """As :func:`run`, for every batch with files that are new, rewritten or gone since it was loaded.
 
-    A late file makes its batch load again as a whole, from all its landed files.
+    Such a batch loads again as a whole, from the files that it has now.
     """
     warehouse = Warehouse(spark, root)
     loads: list[LoadResult] = []
-
-    def take(table: str, batches: list[str]) -> None:
-        for batch in batches:
-            before = days_of_batch(warehouse, batch) if table == "gps_events" else []
-            _remember(warehouse, before)
-            loads.append(load_table(spark, landing, warehouse, table, batch))
-            _remember(warehouse, days_of_batch(warehouse, batch) if table == "gps_events" else [])
-
     for table in [t for t in tables or TABLES if t in TABLES]:
-        if has_files(spark, landing_folder(landing, table, "*") + "/*.csv*"):
-            new_batches(spark, landing, table, checkpoint, lambda batches, t=table: take(t, batches))
-    days = _remember(warehouse, [])
+        for batch in map(str, changed_batches(spark, landing, warehouse, table)):
+            pings = table == "gps_events"
+            _remember(warehouse, days_of_batch(warehouse, batch) if pings else [])
+            loads.append(load_table(spark, landing, warehouse, table, batch))
+            _remember(warehouse, days_of_batch(warehouse, batch) if pings else [])
+    days = pending_days(warehouse)
     checks = check_inputs(warehouse, latest_dimensions)
     checks += rebuild(warehouse, as_of, days, latest_dimensions)
     return RunResult(loads, days, checks)

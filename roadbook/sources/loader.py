@@ -16,7 +16,8 @@ from roadbook.checks.quality import parts_of
 from roadbook.operators.rejects import REASON, parse
 from roadbook.operators.staging import views
 from roadbook.schemas import TABLES
-from roadbook.sources.landing import landed_dates, read_landed, require_landed
+from roadbook.sources.files import note_files
+from roadbook.sources.landing import has_files, landed_dates, landing_folder, read_landed, require_landed
 from roadbook.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -68,8 +69,9 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
     Each loaded date replaces the whole of what the same date loaded before; dates
     that are no longer landed keep what they have. Running it twice changes
     nothing, and a run that died half way is simply run again. Rows, rejects and the
-    failing rows of every check are counted while a date is written; the rows, their
-    counts and their keys are published as one version.
+    failing rows of every check are counted while a date is written; the rows, what
+    failed, their keys and their files are published as one version. A file without a
+    needed column is refused by name before anything is loaded.
     """
     base = warehouse.at()
     run, name = base.begin(), f"raw.{table}"
@@ -79,19 +81,21 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
     rows = {"loaded": F.count_if(loaded), "rejected": F.count_if(~loaded)}
     failing = ledger.counts_of(parts, loaded)
     try:
-        stored, seen = run.write_counted(storable(read_landed(spark, landing, table, batch_date), table), name,
-                                         rows | (failing if len(batches) == 1 else {}), *partition_columns(table))
+        files = note_files(spark, landing, run, table, batches)
+        if batch_date is None or has_files(spark, landing_folder(landing, table, batch_date) + "/*.csv*"):
+            landed = storable(read_landed(spark, landing, table, batch_date), table)
+        else:  # its files are gone, and so are its rows
+            landed = spark.createDataFrame([], stored_schema(table))
+        stored, seen = run.write_counted(landed, name, rows | (failing if len(batches) == 1 else {}), *partition_columns(table))
         accepted = stored.where(loaded)
         if len(batches) == 1:
             by_unit = {str(batches[0]): ledger.results_of(parts, seen)}
         else:  # counts taken while writing tell no batch from another: one more scan, of many dates at once only
             counted = accepted.groupBy(BATCH).agg(*[c.alias(n) for n, c in failing.items()]).collect() if failing else []
             by_unit = {ledger.unit_text(r[BATCH]): ledger.results_of(parts, r.asDict()) for r in counted}
-        book = ledger.Ledger(base, run)
-        repeated, kept = book.repeats(name, parts, accepted, BATCH, batches)
-        if repeated:
-            kept |= book.record(name, by_unit, repeated, batches)
-        warehouse.publish(run, {name: batches, **kept}, base.version(), [name, *[k for k in kept if k != ledger.COUNTS]])
+        repeated, keys = ledger.repeats(base, run, name, parts, accepted, BATCH, batches)
+        warehouse.publish(run, {name: batches, **files, **keys}, base.version(), [name, *keys],
+                          ledger.noting(name, by_unit, repeated, batches))
     finally:
         run.remove()
     return LoadResult(table, seen["loaded"], seen["rejected"])

@@ -11,8 +11,6 @@ which a streaming sink's commit log does not follow.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import SparkSession
 
 from roadbook.schemas import TABLES
@@ -50,23 +48,3 @@ def _stored_counts(spark: SparkSession, warehouse: Warehouse, table: str) -> tup
     stored = spark.read.schema(stored_schema(table)).parquet(warehouse.path(f"raw.{table}"))
     counts = {r[STATUS]: r["count"] for r in stored.groupBy(STATUS).count().collect()}
     return counts.get("loaded", 0), counts.get("rejected", 0)
-
-
-def new_batches(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                take: Callable[[list[str]], None]) -> None:
-    """Call ``take`` with the batch dates that have files which it has not been called for before.
-
-    The file source remembers the files; it commits them after ``take`` has
-    returned, so a run that dies is told of the same dates again. ``take`` should
-    therefore do whole batches, as the batch loader does: both loaders then share
-    one layout of the raw table.
-    """
-    files = spark.readStream.schema("value string, date date").format("text").load(landing_folder(landing, table))
-    query = (
-        files.select("date").writeStream
-        .foreachBatch(lambda df, _: take([str(r.date) for r in df.distinct().orderBy("date").collect()]))
-        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
