@@ -5,9 +5,10 @@ often it occurs, in the table itself and in each view of it, sorted by a bucket
 the key's hash. Replacing some units changes the count of repeated values only for
 keys that these units hold, before or after. So only those keys meet the rest of the
 store, and of it only the buckets that they fall into are read: the store's row
-groups are sorted by bucket and skipped by its statistics. The meeting is a semi-join
-of a small table; Spark broadcasts it, or shuffles what its runtime Bloom filter
-leaves of the store. No key of an unchanged unit is grouped again.
+groups are sorted by bucket and skipped by its statistics. Before the meeting a
+filter takes away stored keys that cannot be touched ones: a bitmap of 4 KB for each
+touched bucket, 16 MB at most, is sent to where the store is read. So the semi-join
+moves the touched keys and few others, and no key of an unchanged unit is grouped again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+_BITS = 32_768  # of a bitmap, as Spark builds them
 
 
 def bucket_of(key: Column) -> Column:
@@ -35,6 +37,20 @@ def touched_keys(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.select("bucket", "key").union(new.select("bucket", "key")).distinct()
 
 
+def _bit(key: Column) -> Column:
+    """A key's place in its bucket's bitmap; the seed is another than the bucket's."""
+    return F.pmod(F.xxhash64(key, F.lit("bit")), F.lit(_BITS))
+
+
+def maybe_touched(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """The stored rows whose bit some touched key of their bucket has set: all that are touched, and few others."""
+    seen = touched.groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(_bit(F.col("key")) + 1)).alias("_seen"))
+    at = _bit(F.col("key"))
+    byte = F.conv(F.hex(F.substr("_seen", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # at most BUCKETS bitmaps
+    return rows.join(F.broadcast(seen), "bucket").where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def added_repeats(rest: DataFrame, old: DataFrame, new: DataFrame, touched: DataFrame, parts: int,
                   buckets: list[int] | None = None) -> DataFrame:
     """One row ``r0, r1, …``: by how much the number of values that occur more than once grows, for each part.
@@ -45,7 +61,7 @@ def added_repeats(rest: DataFrame, old: DataFrame, new: DataFrame, touched: Data
     names = [f"n{i}" for i in range(parts)]
     if buckets is not None:
         rest = rest.where(F.col("bucket").isin(buckets))
-    met = rest.join(touched, ["bucket", "key"], "left_semi")
+    met = maybe_touched(rest, touched).join(touched, ["bucket", "key"], "left_semi")
 
     def counted(rows: DataFrame, before: bool, after: bool) -> DataFrame:
         none = F.lit(0).cast("long")

@@ -1,0 +1,149 @@
+"""The ledger says what a report over whole tables would, also after batches are replaced."""
+
+from __future__ import annotations
+
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadbook.checks import keys, ledger, quality
+from roadbook.operators import staging
+from roadbook.schemas import TABLES
+from roadbook.sources import files, landing, loader
+from roadbook.sources.warehouse import Warehouse
+
+HEAD = ",".join(TABLES["gps_events"].names)
+
+
+def land(root, batch, pings, name="f.csv", head=HEAD):
+    path = root / landing.landing_key("gps_events", batch, name)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([head, *pings]) + "\n")
+    return path
+
+
+def ping(i, vehicle="V", lat=29.7, speed="30"):
+    return f"{i},{vehicle},R,{lat},-95.4,{speed},3,2024-01-15T08:00:00,2024-01-15"
+
+
+def outcome(rows):
+    return {(r.table_name, r.check_name, r.column_name): r.failing_rows for r in rows}
+
+
+def whole(warehouse):
+    return outcome(quality.report({"raw.gps_events": loader.raw_table(warehouse, "gps_events")}, views=staging.views()).collect())
+
+
+def told(warehouse):
+    return outcome(ledger.report(warehouse.at(), {"raw.gps_events": quality.parts_of("raw.gps_events", views=staging.views())}))
+
+
+def test_loads_and_reloads_equal_a_whole_report(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    steps = [
+        ("2024-01-15", [ping("A"), ping("A"), ping("B", vehicle=""), ping("C", lat=11.0), ping("bad", speed="x")]),
+        ("2024-01-16", [ping("A"), ping("C", lat=11.0), ping("C"), ping("D", speed=""), ping("E", speed="200")]),
+        ("2024-01-15", [ping("A"), ping("B"), ping("E")]),   # A no longer repeats within, E does across
+        ("2024-01-17", []),
+        ("2024-01-16", [ping("D")]),
+    ]
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "row_checks", lambda *_: 1 / 0)  # no load counts rows by a scan
+        patch.setattr(loader, "BATCH", "batch_date")
+        for batch, pings in steps:
+            land(tmp_path, batch, pings)
+            result = loader.load_table(spark, str(tmp_path), warehouse, "gps_events", batch)
+            assert (result.rows_loaded, result.rows_errored) == (sum("bad" not in p for p in pings), sum("bad" in p for p in pings))
+            got = told(warehouse)
+            patch.undo()
+            assert got == whole(warehouse)
+            patch.setattr(quality, "row_checks", lambda *_: 1 / 0)
+    assert sum(told(warehouse).values()) == 0
+    # many dates at once
+    land(tmp_path, "2024-01-16", [ping("A"), ping("A"), ping("Z", vehicle="")])
+    land(tmp_path, "2024-01-18", [ping("A"), ping("Y", speed="")])
+    loader.load_table(spark, str(tmp_path), warehouse, "gps_events")
+    assert told(warehouse) == whole(warehouse) and told(warehouse)[("raw.gps_events", "unique", "event_id")] == 1
+
+
+def test_added_repeats_by_brute_force(spark):
+    """Random units replaced by others; the filter before the join loses nothing."""
+    rng = random.Random(2)
+    draw = lambda units, n: [(rng.choice(units), f"k{rng.randint(0, 60)}", rng.random() < 0.5) for _ in range(n)]
+    first, again = draw([1, 2, 3], 150), draw([2], 50)
+    parts = [F.lit(True), F.col("own")]
+    rows = lambda r: keys.key_rows(spark.createDataFrame(r, "unit int, id string, own boolean"), "id", "unit", parts)
+    stored, new = rows(first), rows(again)
+    old, rest = stored.where("unit = 2"), stored.where("unit <> 2")
+    touched = keys.touched_keys(old, new)
+
+    def repeats(r):
+        count = lambda only: sum(n > 1 for n in Counter(i for _, i, own in r if own or not only).values())
+        return count(False), count(True)
+
+    after = repeats([r for r in first if r[0] != 2] + again)
+    expected = tuple(b - a for a, b in zip(repeats(first), after))
+    for buckets in (None, keys.buckets_of(touched)):
+        assert tuple(keys.added_repeats(rest, old, new, touched, 2, buckets).first()) == expected
+    left = {r.key for r in keys.maybe_touched(rest, touched).collect()}
+    hit = {r.key for r in touched.collect()}
+    assert left >= {r.key for r in rest.collect()} & hit and len(left - hit) <= 2
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    """The store is sorted by bucket, and the buckets reach its scan as a filter."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    land(tmp_path, "2024-01-15", [ping(f"E{i}") for i in range(300)])
+    loader.load_table(spark, str(tmp_path), warehouse, "gps_events", "2024-01-15")
+    store = warehouse.read("state.keys_gps_events_event_id")
+    assert [r.bucket for r in store.collect()] == sorted(r.bucket for r in store.collect())
+    plan = keys.added_repeats(store, store.limit(0), store.limit(0), store.limit(1).select("bucket", "key"), 2, [5, 9])
+    assert "In(bucket, [5,9])" in plan._jdf.queryExecution().executedPlan().toString().replace(" ", "").replace("In(bucket,", "In(bucket, ")
+
+
+def test_files_that_change(spark, tmp_path):
+    """New, rewritten, touched, unchanged and removed files."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    changed = lambda: [str(d)[-2:] for d in files.changed_batches(spark, str(tmp_path), warehouse, "gps_events")]
+
+    def load():
+        for day in changed():
+            loader.load_table(spark, str(tmp_path), warehouse, "gps_events", f"2024-01-{day}")
+
+    assert changed() == []
+    one, two = land(tmp_path, "2024-01-15", [ping("A")]), land(tmp_path, "2024-01-16", [ping("B")])
+    late = land(tmp_path, "2024-01-16", [ping("C")], "late.csv")
+    assert changed() == ["15", "16"]
+    load()
+    assert changed() == []
+    one.write_text(one.read_text())  # touched
+    late.write_text(late.read_text().replace("C,", "X,"))  # rewritten in place, as long as before
+    for path in (one, late):
+        os.utime(path, (path.stat().st_atime + 10, path.stat().st_mtime + 10))
+    assert changed() == ["16"]
+    load()
+    ids = lambda: sorted(r.event_id for r in loader.raw_table(warehouse, "gps_events").collect())
+    assert ids() == ["A", "B", "X"] and changed() == []
+    late.unlink()
+    assert changed() == ["16"]
+    load()
+    two.unlink()
+    land(tmp_path, "2024-01-17", [ping("N")])
+    assert changed() == ["16", "17"]
+    load()
+    assert ids() == ["A", "N"] and changed() == []
+    assert told(warehouse) == whole(warehouse)
+
+
+def test_a_file_without_a_needed_column_is_refused_by_name(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    land(tmp_path, "2024-01-15", [ping("A")])
+    land(tmp_path, "2024-01-15", [ping("B")], "odd.csv", HEAD.replace("speed_mph", "speed").replace("lat", '"lat"'))
+    with pytest.raises(files.MissingColumns, match="odd.csv has no speed_mph$"):
+        loader.load_table(spark, str(tmp_path), warehouse, "gps_events", "2024-01-15")
+    assert not warehouse.exists("raw.gps_events")
+    land(tmp_path, "2024-01-15", [ping("B")], "odd.csv", HEAD + "\r")
+    assert loader.load_table(spark, str(tmp_path), warehouse, "gps_events", "2024-01-15").rows_loaded == 2
