@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,13 +106,15 @@ def load_table(spark: SparkSession, landing: str, warehouse: Warehouse, table: s
 def load_all(spark: SparkSession, landing: str, warehouse: Warehouse,
              tables: Iterable[str] | None = None,
              batch_date: str | None = None) -> list[LoadResult]:
-    """Load the wanted tables; names that are unknown or have not landed are told before any is loaded."""
+    """Load the wanted tables side by side; names that are unknown or have not landed are told before any is loaded."""
     wanted = list(TABLES if tables is None else tables)
     known = [t for t in wanted if t in TABLES]
     if strange := sorted(set(wanted) - set(known)):
         log.warning("left out, not among the declared tables: %s", ", ".join(strange))
     require_landed(spark, landing, batch_date, known)
-    return [load_table(spark, landing, warehouse, t, batch_date) for t in known]
+    load = inheritable_thread_target(spark)(lambda t: load_table(spark, landing, warehouse, t, batch_date))
+    with ThreadPoolExecutor(max(1, len(known))) as side_by_side:
+        return list(side_by_side.map(load, known))
 
 
 def _stored(warehouse: Warehouse, table: str, status: str) -> DataFrame:
