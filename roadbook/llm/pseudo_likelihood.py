@@ -49,7 +49,9 @@ CHUNK_CHARS = 4_000_000
 # Weights are averaged as multiples of this.
 UNIT = 2.0**-24
 # Tokens scored at a time: their logits stay in the processor's cache.
-BLOCK = 4096
+BLOCK = 1024
+# Logits that cannot reach this are not shifted before they are exponents: 128 of its exponential fit a float32.
+LARGEST_LOGIT = 80.0
 # Words whose counts travel with the tasks, at most.
 CARRIED = 65_536
 # Logarithms that are joined are summed as multiples of this: no order of tasks shows.
@@ -95,39 +97,60 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
 
+    def _exponents(self, hidden: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens' logits, all exponentials and their sums; shifted first where some could grow too large."""
+        logits = hidden @ self.outer
+        logits += self.outer_bias
+        # hidden units lie between -1 and 1, so the weights bound the logits
+        if not (np.abs(self.outer).sum(axis=0) + np.abs(self.outer_bias)).max() < LARGEST_LOGIT:
+            logits -= logits.max(axis=1, keepdims=True)
+        chosen = logits[np.arange(len(tokens)), tokens]
+        powers = np.exp(logits, out=logits)  # in place: a second array of this size costs more than the exponentials
+        return chosen, powers, powers @ np.ones(powers.shape[1], powers.dtype)
+
+    def _tables(self) -> np.ndarray:
+        """Each neighbour's way into the hidden layer, worked out once for each place and token number."""
+        return np.matmul(self.embedding, self.inner)
+
+    def _hidden(self, tables: np.ndarray, around: np.ndarray) -> np.ndarray:
+        inner = tables[0].take(around[:, 0], axis=0)
+        for k in range(1, 2 * SIDE):
+            inner += tables[k].take(around[:, k], axis=0)
+        inner += self.inner_bias
+        return np.tanh(inner, out=inner)
+
     def log_probabilities(self, around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Of each token given the 2 * SIDE tokens around it."""
-        # each neighbour's way into the hidden layer, worked out once for each token number
-        tables = [self.embedding @ self.inner[k] for k in range(2 * SIDE)]
+        tables = self._tables()
         out = np.empty(len(tokens), np.float64)
         for start in range(0, len(tokens), BLOCK):
             some = around[start: start + BLOCK]
-            inner = self.inner_bias + sum(t[some[:, k]] for k, t in enumerate(tables))
-            logits = np.tanh(inner) @ self.outer + self.outer_bias
-            logits -= logits.max(axis=1, keepdims=True)
-            chosen = logits[np.arange(len(some)), tokens[start: start + BLOCK]]
-            out[start: start + BLOCK] = chosen - np.log(np.exp(logits).sum(axis=1))
+            chosen, _, sums = self._exponents(self._hidden(tables, some), tokens[start: start + BLOCK])
+            out[start: start + BLOCK] = chosen - np.log(sums)
         return out
 
     def learn(self, around: np.ndarray, tokens: np.ndarray, rate: float) -> None:
         """One gradient step on a batch."""
         n = len(tokens)
-        seen = self.embedding[around]
-        hidden = np.tanh(np.einsum("nke,keh->nh", seen, self.inner, optimize=True) + self.inner_bias)
-        logits = hidden @ self.outer + self.outer_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        error = np.exp(logits)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(n), tokens] -= 1
-        error /= n
-        below = (error @ self.outer.T) * (1 - hidden * hidden)
-        back = np.einsum("nh,keh->nke", below, self.inner, optimize=True)
+        hidden = self._hidden(self._tables(), around)
+        _, error, sums = self._exponents(hidden, tokens)
+        error *= (1 / (n * sums))[:, None]
+        error[np.arange(n), tokens] -= 1 / n
+        below = error @ self.outer.T
+        below *= 1 - hidden * hidden
         self.outer -= rate * (hidden.T @ error)
-        self.outer_bias -= rate * error.sum(axis=0)
-        self.inner -= rate * np.einsum("nke,nh->keh", seen, below, optimize=True)
-        self.inner_bias -= rate * below.sum(axis=0)
-        for e in range(EMBEDDED):
-            self.embedding[:, e] -= rate * np.bincount(around.ravel(), back[:, :, e].ravel(), len(self.embedding)).astype(np.float32)
+        self.outer_bias -= rate * (np.ones(n, error.dtype) @ error)
+        # what reaches each place and token number, and from there the weights before it
+        back = np.zeros((2 * SIDE, len(self.embedding), HIDDEN), below.dtype)
+        for k in range(2 * SIDE):
+            order = np.argsort(around[:, k], kind="stable")
+            sorted_ = around[order, k]
+            first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+            back[k, sorted_[first]] = np.add.reduceat(below.take(order, axis=0), first, axis=0)
+        step = np.matmul(back, self.inner.transpose(0, 2, 1)).sum(axis=0)
+        self.inner -= rate * np.matmul(self.embedding.T, back)
+        self.inner_bias -= rate * back[0].sum(axis=0)  # each row of the batch is in it once
+        self.embedding -= rate * step
 
 
 class Tokens:
