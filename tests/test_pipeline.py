@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import TINY
 from roadbook import fixtures
+from roadbook.checks import quality
 from roadbook.checks.quality import QualityGateFailed
 from roadbook.plans import pipeline
 from roadbook.schemas import TABLES as TABLES_
@@ -188,3 +189,39 @@ def test_new_files_are_taken_once_and_equal_a_full_rebuild(spark, tmp_path):
     assert third.loads == [] and third.dates == []
     pipeline.run(spark, str(tmp_path), str(tmp_path / "fresh"), "2024-01-15", AS_OF)
     assert published(spark, tmp_path / "wh") == published(spark, tmp_path / "fresh")
+
+
+def test_the_daily_gate_counts_no_rows_by_a_scan(spark, tmp_path, monkeypatch):
+    """What a run's checks say was counted while its rows were written, and equals a report over whole tables."""
+    land_lines(tmp_path, "2024-01-15", [line(0, "2024-01-14"), line(1, "2024-01-15")])
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "row_checks", lambda *_: 1 / 0)
+        checks = pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-15", AS_OF).checks
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    raw = {f"raw.{t}": df for t, df in pipeline.raw_tables(warehouse).items()}
+    whole = quality.report(raw, views=pipeline.staging.views()).unionByName(quality.report({n: warehouse.read(n) for n in TABLES}))
+    assert sorted(map(tuple, checks)) == sorted(map(tuple, whole.collect())) and len(checks) == 74 + 9
+
+    # a batch that fails publishes its rows as they landed, and nothing else; put right, it passes
+    land_lines(tmp_path, "2024-01-16", [line(1, "2024-01-15"), line(2, "2024-01-16")])
+    for table in ("routes", "vehicles", "maintenance_logs"):
+        (tmp_path / "raw" / table / "date=2024-01-16" / "f.csv").write_text(HEADS[table] + "\n")
+    before = published(spark, tmp_path / "wh")
+    with pytest.raises(QualityGateFailed, match="raw.gps_events.event_id unique: 1; silver.stg_gps_events.event_id unique: 1"):
+        pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"), "2024-01-16", AS_OF)
+    assert published(spark, tmp_path / "wh") == before
+
+
+def test_what_was_published_unchecked_is_checked_later(spark, tmp_path):
+    """A table that went out without a gate is read whole by the next one."""
+    land_lines(tmp_path, "2024-01-15", [line(0, "2024-01-14", speed=150), line(1, "2024-01-15")])
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    pipeline.load_all(spark, str(tmp_path), warehouse)
+    pipeline.rebuild(warehouse, AS_OF, check=False)
+    run = warehouse.begin()
+    spoilt = warehouse.read("silver.int_route_segments").withColumn("speed_mph", F.lit(None).cast("double"))
+    run.write(spoilt, "silver.int_route_segments", "event_date")
+    warehouse.publish(run, {"silver.int_route_segments": None})
+    with pytest.raises(QualityGateFailed, match="silver.int_route_segments.speed_mph not_null: 1"):
+        pipeline.rebuild(warehouse, AS_OF, [date(2024, 1, 15)])
+    assert all(c.passed for c in pipeline.rebuild(warehouse, AS_OF))
