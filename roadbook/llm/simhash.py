@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import Scratch, numbered, ship, type_of, workers
+from roadbook.llm.common import Scratch, numbered, ship, type_of
 from roadbook.llm.components import Forest, components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42

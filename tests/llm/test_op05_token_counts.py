@@ -1,4 +1,4 @@
-"""Operator 5 against the tokenizers library's word-piece, and against a plain greedy loop."""
+"""Operator 5 against longest match over the whole vocabulary, and against a plain greedy loop."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import random
 import re
 
 import pytest
-from tokenizers import Tokenizer, models, pre_tokenizers
 
 from roadbook.llm import token_counts as tc
 from roadbook.llm.queries import PIECES, QUERIES
