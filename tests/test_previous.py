@@ -107,7 +107,7 @@ def test_a_trip_without_times_or_in_one_hour_is_spread(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        done = lag_features(pings).select("vehicle_id", "event_id", "event_ts", "prev_ts", "prev_lat", F.spark_partition_id().alias("task"))
+        done = lag_features(pings).select("vehicle_id", "event_id", "event_ts", "prev_ts", "prev_lat", F.spark_partition_id().alias("task")).cache()
         tasks = {r.vehicle_id: r.n for r in done.groupBy("vehicle_id").agg(F.count_distinct("task").alias("n"), F.max("prev_lat")).collect()}
         assert tasks["V1"] >= 8 and tasks["V2"] >= 8
         # each trip has one first ping; pings without a time follow their ids, of which each 1000th is another trip's
@@ -118,6 +118,7 @@ def test_a_trip_without_times_or_in_one_hour_is_spread(spark):
         untimed = done.where("vehicle_id = 'V1'").select(F.substring("event_id", 2, 9).cast("long").alias("i"), "prev_lat")
         before_it = F.when((F.col("i") - 2) % 1000 == 0, F.col("i") - 4).otherwise(F.col("i") - 2)
         assert untimed.where(F.col("i") > 2).where(F.col("prev_lat") != before_it * 7919 % 7001 / F.lit(1e4)).count() == 0
+        done.unpersist()
     finally:
         for name, value in conf.items():
             spark.conf.set(name, value)
