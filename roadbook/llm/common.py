@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roadbook.session import shared_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -43,6 +46,29 @@ def workers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it; nothing where the session has ended."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def free_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark deletes a query's shuffle files when the query ends, not when its frames are forgotten."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Tables in the folder that ``spark.checkpoint.dir`` names, one folder for each run.
 
@@ -57,10 +83,10 @@ class Scratch:
         self.count = 0
         atexit.register(self._delete, self.folder)
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, compression: str | None = None) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         stored = self.spark.read.schema(df.schema).parquet(path)
         stored._scratch_path = path
         return stored
@@ -70,8 +96,4 @@ class Scratch:
             self._delete(stored._scratch_path)
 
     def _delete(self, path: str) -> None:
-        context = self.spark.sparkContext
-        if context._jsc is None or context._jsc.sc().isStopped():
-            return
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        delete(self.spark, path)

@@ -70,8 +70,8 @@ def test_empty(spark, strange):
 
 
 def test_query_returns_what_its_shards_hold(spark, documents, monkeypatch):
-    paths, write = [], to.write_shards
-    monkeypatch.setattr(to, "write_shards", lambda ordered, path: (paths.append(path), write(ordered, path)))
+    paths, write = [], to.write_in_waves
+    monkeypatch.setattr(to, "write_in_waves", lambda order, path: (paths.append(path), write(order, path)))
     frame = QUERIES["op8_training_order"](spark, TINY)
     rows = {r.slot: (r.shard, r.offset, r.doc_id, r.part, r.n_tokens, bytes(r.tokens)) for r in frame.collect()}
     ordered = to.in_training_order(documents, read_model(PIECES))
@@ -88,3 +88,45 @@ def test_query_returns_what_its_shards_hold(spark, documents, monkeypatch):
 
 def test_no_documents_no_shards(spark, documents):
     assert to.through_shards(documents.limit(0), read_model(PIECES)).count() == 0
+
+
+def slots(rows):
+    return {r.slot: (r.id, r.part, bytes(r.tokens)) for r in rows}
+
+
+def test_order_does_not_depend_on_layout(spark, strange):
+    model = read_model(PIECES)
+    one = to.in_training_order(strange.coalesce(1), model, length=7, shard=50).collect()
+    other = to.in_training_order(strange.repartition(5, "text"), model, length=7, shard=50).collect()
+    assert slots(one) == slots(other)
+
+
+def test_copies_met_often_are_dealt_apart(spark, library, monkeypatch):
+    monkeypatch.setattr(to, "COPIES", 4)
+    rows = [(7, "the same text")] * 30 + [(None, None)] * 20 + [(8, "another one")]
+    keys = np.array([5] * 10 + [6], np.int64)
+    apart = to._apart(keys, Counter())
+    assert apart[:4].tolist() == [5] * 4 and apart[-1] == 6 and len(set(apart[:10].tolist())) == 3
+    back = to.through_shards(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), read_model(PIECES), length=3, shard=5).collect()
+    assert found(back) == plain(rows, library, 3) and sorted(r.slot for r in back) == list(range(len(back)))
+
+
+@pytest.mark.parametrize("waves", [1, 3, 50])
+def test_waves_write_the_same_shards(spark, strange, tmp_path, waves):
+    order = to.store_order(strange, read_model(PIECES), length=7, shard=50)
+    to.write_in_waves(order, str(tmp_path / "shards"), waves)
+    back = to.read_shards(spark, str(tmp_path / "shards"), length=7, shard=50).collect()
+    assert slots(back) == {s: (-1 if i is None else i, p, t) for s, (i, p, t) in slots(order.rows().collect()).items()}
+    to.delete_shards(spark, str(tmp_path / "shards"))
+    assert not (tmp_path / "shards").exists()
+
+
+def test_refusals(spark, documents, strange, tmp_path):
+    with pytest.raises(TypeError, match="whole numbers"):
+        to.in_training_order(documents.selectExpr("string(doc_id) as doc_id", "text"), read_model(PIECES))
+    path = str(tmp_path / "shards")
+    order = to.store_order(strange, read_model(PIECES), length=7, shard=50)
+    to.write_in_waves(order, path)
+    to.write_shards(order.rows(), path, "append")  # a second file in every shard
+    with pytest.raises(Exception, match="not one file"):
+        to.read_shards(spark.newSession(), path, length=7, shard=50).repartition(1).count()
