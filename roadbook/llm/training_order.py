@@ -48,7 +48,7 @@ from roadbook.session import shared_folder
 
 LENGTH, SHARD = 512, 4096
 HEAD, TAIL = 16, 1
-WAVES = 4
+WAVES = 3
 BUCKET_BITS = 18
 COPIES = 1024
 ROUNDS = 6
@@ -163,7 +163,7 @@ class Order:
         placed = self.stored.withColumn("slot", slot("bucket", "rank")).withColumn("shard", F.floor(F.col("slot") / self.shard))
         if first > 0 or end is not None:
             placed = placed.where(F.col("shard").between(first, (self.shards if end is None else end) - 1))
-        dealt = placed.select("slot", "shard", "id", "part", "n_tokens", "tokens").repartitionByRange("shard").sortWithinPartitions("shard", "slot")
+        dealt = placed.select("slot", "shard", "id", "part", "n_tokens", "tokens").repartition("shard").sortWithinPartitions("shard", "slot")
         filled = F.rpad("tokens", 2 * self.length, F.lit(self.fill))
         return dealt.select("slot", "shard", (F.col("slot") % self.shard * stride).alias("offset"), "id", "part", "n_tokens", filled.alias("tokens"))
 
