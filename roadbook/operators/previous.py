@@ -80,7 +80,11 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: lis
     NULLs sort last. Rows that are equal in ``order`` have no order of their own,
     so give it enough columns; such rows are also never parted.
     """
-    placed = with_ranges(df, keys, order, **sizes)
+    return previous_of_placed(with_ranges(df, keys, order, **sizes), keys, order, columns).drop("_range", "_split")
+
+
+def previous_of_placed(placed: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """The same for rows whose ``_range`` and ``_split`` are known, as stored ones' are."""
     values = F.struct(*columns)
 
     # the last row of each range of a heavy group, handed to the next range: one row a range
@@ -93,4 +97,4 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], columns: lis
     lagged = placed.withColumn("_before", F.lag(values).over(inside))
     joined = lagged.join(F.broadcast(carried), _same(lagged, carried, keys) & (F.col("_range") == F.col("_at")), "left")
     before = F.coalesce("_before", "_carried")  # inside a range a lag is a row, also one of NULLs
-    return joined.select(*[lagged[c] for c in df.columns], *[before[c].alias(f"prev_{c}") for c in columns])
+    return joined.select(*[lagged[c] for c in placed.columns], *[before[c].alias(f"prev_{c}") for c in columns])

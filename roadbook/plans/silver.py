@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 
 from roadbook.functions.exact import long_total, ratio, units
 from roadbook.functions.fleet import elapsed_seconds, haversine_miles, idle_flag
-from roadbook.operators.previous import with_previous
+from roadbook.operators.previous import previous_of_placed, with_previous
 
 MILE_DECIMALS = 9  # a distance is summed in 10**-9 miles
 
 TRIP_KEYS = ["vehicle_id", "route_id", "event_date"]
 # the id settles equal timestamps, the position equal ids of two batches
 TRIP_ORDER = ["event_ts", "event_id", "lat", "lon"]
+CARRIED = ["lat", "lon", "event_ts"]
 
 
 def lag_features(gps: DataFrame) -> DataFrame:
     """Each ping with the position and time of the one before it that day."""
-    return with_previous(gps, TRIP_KEYS, TRIP_ORDER, ["lat", "lon", "event_ts"]).withColumnRenamed("prev_event_ts", "prev_ts")
+    return with_previous(gps, TRIP_KEYS, TRIP_ORDER, CARRIED).withColumnRenamed("prev_event_ts", "prev_ts")
+
+
+def lag_of_stored(trips: DataFrame) -> DataFrame:
+    """The same for pings stored by their trips' ranges (``sources.trips``): no exchange before the window."""
+    return previous_of_placed(trips, TRIP_KEYS, TRIP_ORDER, CARRIED).drop("_range", "_split").withColumnRenamed("prev_event_ts", "prev_ts")
 
 
 def segment_distance() -> Column:
@@ -49,8 +55,11 @@ def with_route(pings: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def int_route_segments(gps: DataFrame, routes: DataFrame) -> DataFrame:
-    segments = with_segments(lag_features(gps))
-    return with_route(segments, routes).select(
+    return segments_of_lagged(lag_features(gps), routes)
+
+
+def segments_of_lagged(lagged: DataFrame, routes: DataFrame) -> DataFrame:
+    return with_route(with_segments(lagged), routes).select(
         "event_id", "vehicle_id", "route_id", "route_name", "zone", "district",
         "lat", "lon", "speed_mph", "heading_deg", "event_ts", "event_date",
         "segment_distance_miles", "idle_flag", "elapsed_mins")
