@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import Scratch, ship, workers
+from roadbook.llm.common import Scratch, ship, type_of, workers
 from roadbook.llm.components import Forest, components
 
 THRESHOLD = 0.98
@@ -47,6 +47,8 @@ BLOCKS = 4
 DIRECTIONS, PASSED, LEAST, CODES = 2, 8, 4, 2
 # Different vectors of a filter that meet in one place, and pairs verified at a time.
 MEETING, VERIFIED = 1024, 1 << 17
+# Numbers that a half of the code's sums may hold at a time.
+SUMS = 1 << 22
 SEED = 20240917
 
 
@@ -65,7 +67,12 @@ class ProductCode:
         self.height = NormalDist().inv_cdf(max(0.5, 1 - PASSED / self.size)) / math.sqrt(length)
 
     def passed(self, unit: np.ndarray) -> list[list[int]]:
-        """The numbers of all directions that each unit vector passes."""
+        """The numbers of all directions that each unit vector passes, worked out for some rows at a time."""
+        wide = len(self.words[0]) ** ((len(self.parts) + 1) // 2)
+        some = max(1, SUMS // wide)
+        return [found for at in range(0, len(unit), some) for found in self._passed(unit[at: at + some])]
+
+    def _passed(self, unit: np.ndarray) -> list[list[int]]:
         turned = unit @ self.rotation
         scores = [turned[:, p] @ w.T for p, w in zip(self.parts, self.words)]
         half = (len(scores) + 1) // 2
@@ -131,7 +138,7 @@ def _filter_rows(points: DataFrame, directions: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(filters, pa.list_(pa.int64()))],
                                                  names=[*part.schema.names, "filters"])
 
-    schema = "pid long, label string, length int, copies long, vector array<double>, filters array<long>"
+    schema = f"pid long, label string, length int, copies long, vector {type_of(points, 'vector')}, filters array<long>"
     return points.mapInArrow(work, schema).withColumn("filter", F.explode("filters"))
 
 
@@ -237,11 +244,13 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     spark = df.sparkSession
     ship(spark)
     scratch = Scratch(spark, "caps")
-    vector = F.col(vector_col).cast("array<double>")
+    # floats travel as floats, half the bytes, and are compared as doubles
+    number = "float" if type_of(df, vector_col) == "array<float>" else "double"
+    vector = F.col(vector_col).cast(f"array<{number}>")
     rows = df.select(F.col(id_col).alias("id"), F.col(label_col).cast("string").alias("label"), vector.alias("vector"))
     rows = rows.withColumn("usable", usable("vector") & F.col("label").isNotNull())
     # adding zero makes one zero of the two
-    good = rows.where("usable").withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
+    good = rows.where("usable").withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast(number)))
     points = scratch.keep(
         good.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first"))
         .select(F.monotonically_increasing_id().alias("pid"), "label", F.size("vector").alias("length"), "copies", "vector", "first"))

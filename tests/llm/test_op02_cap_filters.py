@@ -88,3 +88,22 @@ def test_query_columns(spark):
     rows = QUERIES["op2_cap_filters"](spark, TINY)
     assert rows.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert rows.count() == table(spark, TINY, "embeddings").count()
+
+
+def test_rows_are_decoded_in_slices(monkeypatch):
+    own = cap_filters.code(16, 4096, 0)
+    rng = np.random.default_rng(3)
+    unit = cap_filters._units(rng.standard_normal((50, 16)))
+    whole = own.passed(unit)
+    monkeypatch.setattr(cap_filters, "SUMS", 3 * len(own.words[0]) ** 2)
+    assert own.passed(unit) == whole and len(whole) == 50
+
+
+def test_floats_and_doubles_link_alike(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((30, 16)).astype(np.float32)
+    near = (base + 0.01 * rng.standard_normal((30, 16))).astype(np.float32)
+    rows = [(i, [float(x) for x in v], i % 30 % 2) for i, v in enumerate([*base, *near, *base[:5]])]
+    found = [sorted(map(tuple, cap_filters.near_vectors(spark.createDataFrame(
+        rows, f"vec_id long, embedding array<{kind}>, label int")).collect())) for kind in ("float", "double")]
+    assert found[0] == found[1] and sum(n > 0 for _, n, _ in found[0]) >= 60
